@@ -1,0 +1,58 @@
+"""Compare a Spark query with its DuckDB twin: columns, row count, values."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
+        return round(v, 9)
+    if isinstance(v, decimal.Decimal):
+        return round(float(v), 9)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def _key(row):
+    return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
+
+
+def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+    """(equal, message). Columns are matched by name; rows as a multiset."""
+    rel = con.sql(sql)
+    duck_cols = list(rel.columns)
+    spark_cols = list(spark_df.columns)
+    if sorted(duck_cols) != sorted(spark_cols):
+        return False, f"columns differ: spark={sorted(spark_cols)} duck={sorted(duck_cols)}"
+    cols = sorted(spark_cols)
+    s_rows = [tuple(_norm(r[c]) for c in cols) for r in spark_df.select(*cols).collect()]
+    d_rows = [tuple(_norm(v) for v in r) for r in con.sql(
+        "SELECT " + ", ".join(f'"{c}"' for c in cols) + f" FROM ({sql})").fetchall()]
+    if len(s_rows) != len(d_rows):
+        return False, f"row count differs: spark={len(s_rows)} duck={len(d_rows)}"
+    s_sorted = sorted(s_rows, key=_key)
+    d_sorted = sorted(d_rows, key=_key)
+    for a, b in zip(s_sorted, d_sorted):
+        if a != b:
+            return False, f"first differing row: spark={a} duck={b}"
+    return True, f"{len(s_rows)} rows equal"
