@@ -53,7 +53,7 @@ def resolve_codes(
     part = F.when(F.col(name_col).isNotNull(),
                   F.struct(F.col("_pos").alias("pos"), F.col(name_col).alias("name")))
     grouped = joined.groupBy(*key_cols).agg(
-        F.array_sort(F.collect_list(part)).alias("_parts"))
+        F.sort_array(F.collect_list(part)).alias("_parts"))
     return grouped.select(
         *key_cols,
         F.concat_ws(separator, F.transform("_parts", lambda p: p["name"])).alias(out_col),
