@@ -229,12 +229,21 @@ ranking AS (
          titulo, titulo_original, anio_estreno, generos, popularidad, valoracion_media, num_votos
   FROM silver)"""
 
-_TREND = """
+def _exact_mean(col: str, digits: int, value_digits: int) -> str:
+    """Mean rounded half away from zero, in exact integer arithmetic."""
+    unit, step = 10 ** value_digits, 10 ** (value_digits - digits)
+    total = f"sum(CAST(round({col} * {unit}) AS HUGEINT))"
+    n = f"count({col})"
+    return (f"CAST(sign({total}) * ((2 * abs({total}) + {step} * {n}) // (2 * {step} * {n}))"
+            f" AS DOUBLE) / {10 ** digits}")
+
+
+_TREND = f"""
 trend AS (
   SELECT anio_estreno, count(pelicula_id) AS num_peliculas,
-         round(avg(valoracion_media), 2) AS valoracion_media,
-         round(avg(popularidad), 2) AS popularidad_media,
-         round(avg(num_votos), 0) AS votos_medios
+         {_exact_mean('valoracion_media', 2, 2)} AS valoracion_media,
+         {_exact_mean('popularidad', 2, 2)} AS popularidad_media,
+         {_exact_mean('num_votos', 0, 0)} AS votos_medios
   FROM silver GROUP BY anio_estreno)"""
 
 

@@ -2,29 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
 
+# (column, alias, output digits, decimals carried by the values)
+TREND_MEANS = (
+    (C.RATING, C.RATING, C.ROUND_DIGITS, C.ROUND_DIGITS),
+    (C.POPULARITY, C.MEAN_POPULARITY, C.ROUND_DIGITS, C.ROUND_DIGITS),
+    (C.VOTES, C.MEAN_VOTES, C.VOTES_DIGITS, 0),
+)
+
+
+def exact_mean(col: str, digits: int, value_digits: int) -> Column:
+    """Mean of ``col`` rounded half up (away from zero) to ``digits``.
+
+    The values carry at most ``value_digits`` decimals (the silver step rounds
+    them), so they are summed exactly as integer units in a decimal(38, 0)
+    and the rounding division is integer arithmetic. A double ``avg`` instead
+    depends on the order of summation, i.e. on partitioning: a mean that
+    sits exactly on a rounding tie (4.925) then comes out as 4.92 on one
+    layout and 4.93 on another.
+    """
+    if digits > value_digits:
+        raise ValueError("digits must not exceed value_digits")
+    unit = 10 ** value_digits
+    step = 10 ** (value_digits - digits)
+    units = f"CAST(round(`{col}` * {unit}) AS DECIMAL(38, 0))"
+    total, n = f"sum({units})", f"count(`{col}`)"
+    rounded = f"sign({total}) * ((2 * abs({total}) + {step} * {n}) div (2 * {step} * {n}))"
+    return F.expr(f"{rounded} / {10 ** digits}")
+
 
 def yearly_trend(
     df: DataFrame,
     group_col: str = C.RELEASE_YEAR,
     count_col: str = C.FILM_ID,
-    means: tuple[tuple[str, str, int], ...] = (
-        (C.RATING, C.RATING, C.ROUND_DIGITS),
-        (C.POPULARITY, C.MEAN_POPULARITY, C.ROUND_DIGITS),
-        (C.VOTES, C.MEAN_VOTES, C.VOTES_DIGITS),
-    ),
+    means=TREND_MEANS,
     count_alias: str = C.FILM_COUNT,
 ) -> DataFrame:
     """One row per ``group_col`` value: non-null count of ``count_col`` and,
-    for each ``(column, alias, digits)``, the mean rounded half up.
+    for each ``(column, alias, digits, value_digits)``, the rounded mean
+    (``value_digits=None``: plain ``round(avg(column), digits)``).
 
     Planned as partial + final hash aggregation: each task pre-aggregates, so a
     group holding a third of all rows still moves one row per task.
     """
     aggs = [F.count(F.col(count_col)).alias(count_alias)]
-    aggs += [F.round(F.avg(F.col(name)), digits).alias(alias) for name, alias, digits in means]
+    for name, alias, digits, value_digits in means:
+        mean = (F.round(F.avg(F.col(name)), digits) if value_digits is None
+                else exact_mean(name, digits, value_digits))
+        aggs.append(mean.alias(alias))
     return df.groupBy(group_col).agg(*aggs)
