@@ -27,7 +27,7 @@ from strata.operators import (
     tenure_columns,
 )
 from strata.operators.rank import DISTRIBUTED, WINDOW
-from strata.plans import gold_ranking, gold_trend, preview, run_layers, silver
+from strata.plans import gold_ranking, gold_top, gold_trend, run_layers, silver
 from strata.session import checkpoint_dir, scratch_path
 from strata.sources import DriverTables, ingest_dictionary, ingest_films
 
@@ -100,8 +100,7 @@ def q_tenure_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_top_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(gold_ranking(_silver(_tables(spark, sf_dir)), method=DISTRIBUTED),
-                   PREVIEW_ROWS)
+    return gold_top(_silver(_tables(spark, sf_dir)), PREVIEW_ROWS)
 
 
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

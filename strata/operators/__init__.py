@@ -1,11 +1,11 @@
 """DataFrame -> DataFrame operators of the catalogue layers."""
 
-from strata.operators.audit import profile_range, stage_counts
+from strata.operators.audit import profile_range, profile_table, stage_counts
 from strata.operators.clean import clean
 from strata.operators.codes import resolve_codes
 from strata.operators.derive import tenure_columns
 from strata.operators.joins import fits, sized_broadcast
-from strata.operators.rank import global_rank, rank_distributed, rank_window, top_n
+from strata.operators.rank import global_rank, rank_distributed, rank_window, top_n, top_ranked
 from strata.operators.select import discover
 from strata.operators.trend import yearly_trend
 
@@ -15,6 +15,7 @@ __all__ = [
     "fits",
     "global_rank",
     "profile_range",
+    "profile_table",
     "rank_distributed",
     "rank_window",
     "resolve_codes",
@@ -22,5 +23,6 @@ __all__ = [
     "stage_counts",
     "tenure_columns",
     "top_n",
+    "top_ranked",
     "yearly_trend",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,13 @@ def profile_range(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def profile_table(spark: SparkSession, table: str, col: str) -> DataFrame:
+    """The same profile as SQL text over a catalogue table."""
+    return spark.sql(
+        f"SELECT COUNT(*) AS row_count, MIN(`{col}`) AS `min_{col}`, "
+        f"MAX(`{col}`) AS `max_{col}` FROM {table}")
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """One row ``(stage, rows)`` per named stage, as one Spark plan (a union
     of global counts; each branch prunes its input to no columns where the

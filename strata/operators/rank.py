@@ -139,7 +139,27 @@ def global_rank(
     raise ValueError(f"unknown rank method {method!r}")
 
 
+def top_ranked(
+    df: DataFrame,
+    n: int,
+    order_col: str,
+    tie_order: Sequence[Column] = (),
+    out_col: str = C.RANK,
+) -> DataFrame:
+    """The first ``n`` rows of the ranking of ``order_col`` (descending),
+    ordered by rank and then ``tie_order``, with their global ranks.
+
+    No global rank is needed: every row that ranks before a row of the top
+    ``n`` sorts before it, so it is among the top ``n`` too, and ranking the
+    ``n`` rows gives the global ranks. Planned as one TakeOrderedAndProject
+    (top ``n`` per task) and a rank over at most ``n`` rows.
+    """
+    value = F.col(order_col).desc()
+    top = df.orderBy(value, *tie_order).limit(n)
+    return top.withColumn(out_col, F.rank().over(Window.orderBy(value)))
+
+
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """First ``n`` rows by ``order`` (planned as one TakeOrderedAndProject:
-    each task keeps its own top n, the driver merges n per task)."""
+    each task keeps its own top n; one final step merges n rows per task)."""
     return df.orderBy(*order).limit(n)

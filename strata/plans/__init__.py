@@ -3,6 +3,7 @@
 from strata.plans.layers import (
     LayerReport,
     gold_ranking,
+    gold_top,
     gold_trend,
     preview,
     ranking_order,
@@ -13,6 +14,7 @@ from strata.plans.layers import (
 __all__ = [
     "LayerReport",
     "gold_ranking",
+    "gold_top",
     "gold_trend",
     "preview",
     "ranking_order",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators import clean, global_rank, resolve_codes, top_n, yearly_trend
+from strata.operators import clean, global_rank, resolve_codes, top_n, top_ranked, yearly_trend
 from strata.operators.rank import AUTO
 from strata.sources import (
     ensure_database,
@@ -57,10 +57,18 @@ def ranking_order() -> list[Column]:
 
 
 def preview(ranking: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` rows of the ranking."""
+    """The first ``n`` rows of a stored ranking."""
     return top_n(ranking, n, ranking_order())
 
 
+def gold_top(silver_df: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows of the gold ranking straight from silver: the same
+    rows and ranks as ``preview(gold_ranking(silver_df), n)``, from a top-n
+    cut instead of a rank over the whole table."""
+    top = top_ranked(silver_df, n, C.POPULARITY, ranking_order()[1:], C.RANK)
+    return top.select(*C.RANKING_COLUMNS)
+
+
 @dataclass
 class LayerReport:
     database: str

@@ -2,7 +2,7 @@ from helpers import raw_rows
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators import profile_range, stage_counts
+from strata.operators import profile_range, profile_table, stage_counts
 from strata.plans import gold_ranking, gold_trend, preview, run_layers, silver
 from strata.session import scratch_path
 from strata.sources import DriverTables, write_table
@@ -52,6 +52,9 @@ def test_layered_run_repeats_and_matches_lazy_plans(spark, small_sf):
     assert sorted(tuple(r) for r in gold_trend(lazy).collect()) == trend_a
     assert first.rows[C.SILVER_TABLE] == first.rows[C.RANKING_TABLE] == lazy.count()
     assert first.rows[C.TREND_TABLE] == len(trend_a)
+    raw_table = first.table(C.RAW_FILMS_TABLE)
+    by_sql = profile_table(spark, raw_table, C.RELEASE_YEAR).collect()
+    assert by_sql == profile_range(spark.table(raw_table), C.RELEASE_YEAR).collect()
 
 
 def test_layered_run_quarantines_bad_pages(spark, small_sf):
@@ -62,3 +65,13 @@ def test_layered_run_quarantines_bad_pages(spark, small_sf):
                         location=location, bad_pages="quarantine")
     assert report.quarantined_pages == 1
     assert report.rows[C.RAW_FILMS_TABLE] == t.orders.count()
+
+
+def test_top_rows_from_silver_equal_preview_of_full_ranking(spark, small_sf):
+    from strata.plans import gold_top
+    t = DriverTables(spark, small_sf)
+    s = silver(t.raw_catalog(), t.code_dictionary())
+    for n in (1, 10, 37):
+        direct = [tuple(r) for r in gold_top(s, n).collect()]
+        full = [tuple(r) for r in preview(gold_ranking(s, method="window"), n).collect()]
+        assert sorted(direct) == sorted(full)

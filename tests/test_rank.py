@@ -83,3 +83,15 @@ def test_top_n_plan_and_rows(spark):
     out = top_n(df, 3, [F.col("v").desc()])
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
     assert [r.v for r in out.collect()] == [49.0, 48.0, 47.0]
+
+
+def test_top_ranked_with_ties_nan_and_nulls(spark):
+    from strata.operators import top_ranked
+    values = [1.0, 1.0, None, float("nan"), 3.0, 3.0, 3.0, 2.0, None]
+    df = frame(spark, values)
+    full = rank_window(df, "v", "r")
+    for n in range(1, len(values) + 1):
+        top = top_ranked(df, n, "v", [F.col("id").asc()], "r")
+        expected = full.orderBy("r", "id").limit(n)
+        assert sorted(tuple(r) for r in top.select("id", "r").collect()) == \
+            sorted(tuple(r) for r in expected.select("id", "r").collect())
