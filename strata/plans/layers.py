@@ -91,21 +91,26 @@ def run_layers(
 ) -> LayerReport:
     """Ingest, clean, resolve and summarise; five tables, each overwritten.
 
-    ``bad_pages="fail"`` stops at the first page that is not valid JSON;
-    ``"quarantine"`` writes such pages to ``<raw table>_quarantine`` and
-    ingests the rest.
+    ``bad_pages="fail"`` fails before any table is written when a page is
+    not valid JSON or a result has a null id: the ingest runs once as a dry
+    run into the ``noop`` sink first (an overwrite drops the old table before
+    writing, so failing inside the write would leave no table).
+    ``"quarantine"`` needs no dry run: it writes bad pages to
+    ``<raw table>_quarantine`` and ingests the rest in one pass.
     """
+    pages = film_pages
+    if bad_pages == "fail":
+        ingest_films(pages).write.format("noop").mode("overwrite").save()
+    elif bad_pages != "quarantine":
+        raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
+
     ensure_database(spark, database, location)
     report = LayerReport(database)
     name = report.table
-
-    pages = film_pages
     if bad_pages == "quarantine":
         split = split_bad_pages(film_pages)
         pages = split.good
         report.quarantined_pages = write_table(split.bad, name(C.RAW_FILMS_TABLE + "_quarantine"), fmt)
-    elif bad_pages != "fail":
-        raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
 
     report.rows[C.RAW_FILMS_TABLE] = write_table(ingest_films(pages), name(C.RAW_FILMS_TABLE), fmt)
     report.rows[C.RAW_CODES_TABLE] = write_table(

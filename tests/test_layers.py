@@ -75,3 +75,19 @@ def test_top_rows_from_silver_equal_preview_of_full_ranking(spark, small_sf):
         direct = [tuple(r) for r in gold_top(s, n).collect()]
         full = [tuple(r) for r in preview(gold_ranking(s, method="window"), n).collect()]
         assert sorted(direct) == sorted(full)
+
+
+def test_bad_page_fails_before_any_write(spark, small_sf):
+    import pytest
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    t = DriverTables(spark, small_sf)
+    location = scratch_path(spark, "layers-f")
+    database = "lf_" + location.rsplit("-", 1)[-1]
+    good = run_layers(spark, t.film_pages(), t.dictionary_pages(), database=database, location=location)
+    before = spark.table(good.table(C.RAW_FILMS_TABLE)).count()
+    pages = t.film_pages().unionByName(spark.createDataFrame([("{bad",)], "body string"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        run_layers(spark, pages, t.dictionary_pages(), database=database, location=location)
+    assert spark.table(good.table(C.RAW_FILMS_TABLE)).count() == before
