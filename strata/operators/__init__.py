@@ -2,7 +2,7 @@
 
 from strata.operators.audit import profile_range, profile_table, stage_counts
 from strata.operators.clean import clean
-from strata.operators.codes import resolve_codes
+from strata.operators.codes import resolve_codes, resolve_codes_by_position
 from strata.operators.derive import tenure_columns
 from strata.operators.joins import fits, sized_broadcast
 from strata.operators.rank import global_rank, rank_distributed, rank_window, top_n, top_ranked
@@ -19,6 +19,7 @@ __all__ = [
     "rank_distributed",
     "rank_window",
     "resolve_codes",
+    "resolve_codes_by_position",
     "sized_broadcast",
     "stage_counts",
     "tenure_columns",

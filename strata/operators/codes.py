@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators.joins import BROADCAST_ROWS, sized_broadcast
+from strata.operators.joins import BROADCAST_ROWS, fits, sized_broadcast
+
+# Code lists longer than this are resolved with the grouped form.
+MAX_POSITIONS = 16
 
 
 def resolve_codes(
@@ -58,3 +61,47 @@ def resolve_codes(
         *key_cols,
         F.concat_ws(separator, F.transform("_parts", lambda p: p["name"])).alias(out_col),
     )
+
+
+def resolve_codes_by_position(
+    rows: DataFrame,
+    dictionary: DataFrame,
+    codes_col: str = C.CODES,
+    keep_cols: Sequence[str] = C.SILVER_KEY,
+    code_col: str = C.CODE_ID,
+    name_col: str = C.CODE_NAME,
+    out_col: str = C.NAMES,
+    separator: str = C.NAME_SEPARATOR,
+    code_separator: str = C.CODE_SEPARATOR,
+    broadcast_rows: int = BROADCAST_ROWS,
+    max_positions: int = MAX_POSITIONS,
+) -> DataFrame:
+    """Shuffle-free form of :func:`resolve_codes` for rows that are unique on
+    ``keep_cols`` (then both give the same result; rows that are not unique
+    are not merged here).
+
+    The dictionary is aggregated per code (a duplicate code still yields all
+    its names, sorted) and broadcast; each position of the code list is
+    looked up with its own broadcast hash join, all in one stage, so the
+    film rows are never shuffled. One small aggregate finds the longest code
+    list first; beyond ``max_positions``, or when the dictionary is larger
+    than ``broadcast_rows``, the grouped form is used.
+    """
+    parts = F.split(F.col(codes_col), re.escape(code_separator))
+    longest = rows.agg(F.max(F.size(parts)).alias("m")).first()["m"] or 0
+    names = dictionary.groupBy(code_col).agg(F.sort_array(F.collect_list(name_col)).alias("_names"))
+    if longest > max_positions or not fits(names, broadcast_rows):
+        return resolve_codes(rows, dictionary, codes_col, keep_cols, code_col, name_col,
+                             out_col, separator, code_separator, broadcast_rows)
+
+    out = rows.filter(F.col(codes_col).isNotNull()).select(
+        *keep_cols, parts.alias("_codes"))
+    found = []
+    for i in range(longest):
+        key, value = f"_c{i}", f"_n{i}"
+        lookup = F.broadcast(names.select(F.col(code_col).alias(key), F.col("_names").alias(value)))
+        out = out.withColumn(key, F.trim(F.try_element_at("_codes", F.lit(i + 1))))
+        out = out.join(lookup, on=key, how="left")
+        found.append(F.coalesce(F.col(value), F.array().cast("array<string>")))
+    joined = F.flatten(F.array(*found)) if found else F.array().cast("array<string>")
+    return out.select(*keep_cols, F.concat_ws(separator, joined).alias(out_col))

@@ -73,3 +73,25 @@ def test_dictionary_is_broadcast_and_one_exchange(spark):
     plan = resolve_codes(films, dictionary(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_by_position_equals_grouped_form_on_unique_rows(spark):
+    from strata.operators import resolve_codes_by_position
+    films = raw_rows(spark, [{"pelicula_id": "a", "genero_ids": "35,18"},
+                             {"pelicula_id": "b", "genero_ids": ""},
+                             {"pelicula_id": "c", "genero_ids": None},
+                             {"pelicula_id": "d", "genero_ids": "18, 99,28,18"},
+                             {"pelicula_id": "e", "genero_ids": "99"}])
+    d = dictionary(spark, (("18", "Drama"), ("18", "Dramma"), ("35", "Comedia"), ("28", "Azione")))
+    fast = resolve_codes_by_position(films, d)
+    assert names(fast) == names(resolve_codes(films, d))
+    assert fast.columns == resolve_codes(films, d).columns
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    # the only exchange aggregates the dictionary; film rows are not shuffled
+    assert plan.count("Exchange hashpartitioning(genero_id") == plan.count("Exchange hashpartitioning")
+
+
+def test_by_position_falls_back_for_long_lists(spark):
+    from strata.operators import resolve_codes_by_position
+    films = raw_rows(spark, [{"pelicula_id": "a", "genero_ids": ",".join(["18"] * 20)}])
+    assert names(resolve_codes_by_position(films, dictionary(spark))) == [("a", ", ".join(["Drama"] * 20))]
