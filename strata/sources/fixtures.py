@@ -18,6 +18,11 @@ def _key(orders: DataFrame):
     return F.col("o_orderkey")
 
 
+def _day_text(ts):
+    """yyyy-MM-dd of a timestamp_ntz without going through the session time zone."""
+    return ts.cast("date").cast("string")
+
+
 def raw_catalog(orders: DataFrame) -> DataFrame:
     """One raw film row per order."""
     k = _key(orders)
@@ -28,9 +33,9 @@ def raw_catalog(orders: DataFrame) -> DataFrame:
         F.when((k % 11) == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit(" "), F.col("o_orderstatus"))).alias(C.ORIGINAL_TITLE),
         F.when(missing_date, F.lit(""))
-         .otherwise(F.date_format(F.col("o_orderdate"), C.DATE_FORMAT)).alias(C.RELEASE_DATE),
+         .otherwise(_day_text(F.col("o_orderdate"))).alias(C.RELEASE_DATE),
         F.when(missing_date, F.lit(None).cast("int"))
-         .otherwise(F.year(F.col("o_orderdate"))).alias(C.RELEASE_YEAR),
+         .otherwise(F.year(F.col("o_orderdate").cast("date"))).alias(C.RELEASE_YEAR),
         (F.col("o_totalprice") / 7).alias(C.POPULARITY),
         ((k % 701) / 70).alias(C.RATING),
         (k % 100).cast("int").alias(C.VOTES),
@@ -65,7 +70,7 @@ def film_pages(orders: DataFrame, page_size: int = C.PAGE_SIZE) -> DataFrame:
          .alias("title"),
         F.concat(F.lit(" "), F.col("o_orderstatus")).alias("original_title"),
         F.when((k % 13) == 0, F.lit(""))
-         .otherwise(F.date_format(F.col("o_orderdate"), C.DATE_FORMAT)).alias("release_date"),
+         .otherwise(_day_text(F.col("o_orderdate"))).alias("release_date"),
         F.when((k % 23) == 0, F.lit(None).cast("double"))
          .otherwise(F.col("o_totalprice") / 7).alias("popularity"),
         ((k % 701) / 70).alias("vote_average"),
