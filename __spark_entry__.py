@@ -90,6 +90,8 @@ def q_gold_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_gold_ranking_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain window form, used only after a bounded count shows that the
+    silver table fits one task (otherwise the distributed form)."""
     return gold_ranking(_silver(_tables(spark, sf_dir)), method=WINDOW)
 
 
@@ -118,7 +120,7 @@ def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "raw": raw,
         "clean": cleaned,
         "silver": silver_df,
-        "gold_ranking": gold_ranking(silver_df, method=WINDOW),
+        "gold_ranking": gold_ranking(silver_df),
         "gold_trend": gold_trend(silver_df),
     })
 

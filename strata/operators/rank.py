@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from strata import catalogue as C
+from strata.operators.joins import fits
 from strata.session import checkpoint_dir
 
 WINDOW = "window"
@@ -42,7 +43,8 @@ MAX_BUCKETS = 1024
 
 
 def rank_window(df: DataFrame, order_col: str, out_col: str = C.RANK) -> DataFrame:
-    """The plain form: one window over the whole table (one task)."""
+    """The plain form: one window over the whole table, in one task. Use it
+    through :func:`global_rank`, which only allows it on inputs of proven size."""
     return df.withColumn(out_col, F.rank().over(Window.orderBy(F.col(order_col).desc())))
 
 
@@ -125,18 +127,24 @@ def global_rank(
 ) -> DataFrame:
     """Competition rank of ``order_col`` descending, as an int column.
 
-    ``method="auto"`` uses the single-task window only when the caller passes
-    a ``row_count`` within ``single_task_rows`` (for example the count
-    observed when the input table was written); otherwise the distributed form.
+    The single-task window only runs on an input of proven size:
+
+    * ``method="auto"``: the window when the caller passes a ``row_count``
+      within ``single_task_rows`` (e.g. the count observed when the input
+      table was written), otherwise the distributed form, with no extra pass;
+    * ``method="window"``: the window when ``row_count`` or a bounded count
+      (at most ``single_task_rows + 1`` rows per partition) shows the input
+      fits, otherwise the distributed form;
+    * ``method="distributed"``: always the distributed form.
     """
-    if method == AUTO:
-        small = row_count is not None and row_count <= single_task_rows
-        method = WINDOW if small else DISTRIBUTED
-    if method == WINDOW:
+    if method not in (AUTO, WINDOW, DISTRIBUTED):
+        raise ValueError(f"unknown rank method {method!r}")
+    known_small = row_count is not None and row_count <= single_task_rows
+    if method == WINDOW and row_count is None:
+        known_small = fits(df, single_task_rows)
+    if method != DISTRIBUTED and known_small:
         return rank_window(df, order_col, out_col)
-    if method == DISTRIBUTED:
-        return rank_distributed(df, order_col, out_col, **options)
-    raise ValueError(f"unknown rank method {method!r}")
+    return rank_distributed(df, order_col, out_col, **options)
 
 
 def top_ranked(

@@ -95,3 +95,12 @@ def test_top_ranked_with_ties_nan_and_nulls(spark):
         expected = full.orderBy("r", "id").limit(n)
         assert sorted(tuple(r) for r in top.select("id", "r").collect()) == \
             sorted(tuple(r) for r in expected.select("id", "r").collect())
+
+
+def test_window_method_only_on_proven_size(spark):
+    df = frame(spark, [float(i % 7) for i in range(50)])
+    small = global_rank(df, "v", "r", method="window", single_task_rows=100)
+    big = global_rank(df, "v", "r", method="window", single_task_rows=10)
+    assert "SinglePartition" in small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in big._jdf.queryExecution().executedPlan().toString()
+    assert ranks(small) == ranks(big)
