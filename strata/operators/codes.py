@@ -32,7 +32,8 @@ def resolve_codes(
     Semantics, one by one:
 
     * codes are split on ``code_separator`` and trimmed; each is looked up in
-      the dictionary with a left join, so an unknown code adds no name;
+      the dictionary with a left join, so an unknown code adds no name and a
+      code listed twice in the dictionary adds both names;
     * an empty code list gives ``''``; a null code list drops the row;
     * rows are regrouped on ``key_cols``: rows equal on all of them merge and
       their names add up (two identical rows ``"18,35"`` give
@@ -40,27 +41,37 @@ def resolve_codes(
     * names come out in code-list order (position, then name), so the text
       does not depend on how the shuffle ordered the rows.
 
-    Plan: the code list is exploded in place; the dictionary is broadcast when
-    its size check passes (else a shuffle join, with AQE splitting skewed
-    codes); the regroup is one hash exchange on ``key_cols`` after a map-side
-    partial aggregate, so each row crosses the network once, not once per code.
+    Plan, built so that copies of one row never pile up in one task:
+
+    1. identical rows (key columns and code list) are counted with a map-side
+       combine, so a group of copies holding a third of all rows leaves each
+       task as one row;
+    2. each distinct row's code list is exploded in place and joined to the
+       dictionary, broadcast when its size check passes (else a shuffle
+       join, where AQE splits skewed codes);
+    3. the regroup on ``key_cols`` (partial aggregate, then one exchange)
+       gathers ``(position, name, copies)`` entries: their number is bounded
+       by the distinct code lists of a key, not by its rows;
+    4. names are repeated ``copies`` times only in the final projection.
     """
     parts = F.split(F.col(codes_col), re.escape(code_separator))
-    exploded = rows.select(
-        *key_cols, F.posexplode(parts).alias("_pos", "_code")
-    ).select(*key_cols, "_pos", F.trim(F.col("_code")).alias(code_col))
+    distinct = (rows.filter(F.col(codes_col).isNotNull())
+                .groupBy(*key_cols, codes_col).agg(F.count(F.lit(1)).alias("_copies")))
+    exploded = distinct.select(
+        *key_cols, "_copies", F.posexplode(parts).alias("_pos", "_code")
+    ).select(*key_cols, "_copies", "_pos", F.trim(F.col("_code")).alias(code_col))
 
     names = sized_broadcast(dictionary.select(code_col, name_col), broadcast_rows)
     joined = exploded.join(names, on=code_col, how="left")
 
     part = F.when(F.col(name_col).isNotNull(),
-                  F.struct(F.col("_pos").alias("pos"), F.col(name_col).alias("name")))
+                  F.struct(F.col("_pos").alias("pos"), F.col(name_col).alias("name"),
+                           F.col("_copies").alias("copies")))
     grouped = joined.groupBy(*key_cols).agg(
         F.sort_array(F.collect_list(part)).alias("_parts"))
-    return grouped.select(
-        *key_cols,
-        F.concat_ws(separator, F.transform("_parts", lambda p: p["name"])).alias(out_col),
-    )
+    repeated = F.flatten(F.transform(
+        "_parts", lambda p: F.array_repeat(p["name"], p["copies"].cast("int"))))
+    return grouped.select(*key_cols, F.concat_ws(separator, repeated).alias(out_col))
 
 
 def resolve_codes_by_position(

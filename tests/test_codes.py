@@ -68,11 +68,21 @@ def test_shuffle_join_path_equals_broadcast_path(spark):
         names(resolve_codes(films, dictionary(spark)))
 
 
-def test_dictionary_is_broadcast_and_one_exchange(spark):
+def test_dictionary_is_broadcast_and_both_exchanges_follow_a_partial_aggregate(spark):
     films = raw_rows(spark, [{"pelicula_id": "a"}])
     plan = resolve_codes(films, dictionary(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "partial_count" in plan and "partial_collect_list" in plan
+
+
+def test_many_copies_of_one_row(spark):
+    rows = [{"pelicula_id": "hot", "genero_ids": "35,18"}] * 3000 + \
+           [{"pelicula_id": "hot", "genero_ids": "28"}] * 2 + \
+           [{"pelicula_id": str(i), "genero_ids": "18"} for i in range(1000)]
+    got = dict(names(resolve_codes(raw_rows(spark, rows).repartition(8), dictionary(spark))))
+    assert got["hot"] == ", ".join(["Azione"] * 2 + ["Comedia"] * 3000 + ["Drama"] * 3000)
+    assert got["7"] == "Drama" and len(got) == 1001
 
 
 def test_by_position_equals_grouped_form_on_unique_rows(spark):
