@@ -98,21 +98,21 @@ def run_layers(
     ``"quarantine"`` needs no dry run: it writes bad pages to
     ``<raw table>_quarantine`` and ingests the rest in one pass.
     """
-    pages = film_pages
     if bad_pages == "fail":
-        ingest_films(pages).write.format("noop").mode("overwrite").save()
+        ingest_films(film_pages).write.format("noop").mode("overwrite").save()
     elif bad_pages != "quarantine":
         raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
+    lenient = bad_pages == "quarantine"
 
     ensure_database(spark, database, location)
     report = LayerReport(database)
     name = report.table
-    if bad_pages == "quarantine":
-        split = split_bad_pages(film_pages)
-        pages = split.good
-        report.quarantined_pages = write_table(split.bad, name(C.RAW_FILMS_TABLE + "_quarantine"), fmt)
+    if lenient:
+        report.quarantined_pages = write_table(
+            split_bad_pages(film_pages).bad, name(C.RAW_FILMS_TABLE + "_quarantine"), fmt)
 
-    report.rows[C.RAW_FILMS_TABLE] = write_table(ingest_films(pages), name(C.RAW_FILMS_TABLE), fmt)
+    report.rows[C.RAW_FILMS_TABLE] = write_table(
+        ingest_films(film_pages, lenient=lenient), name(C.RAW_FILMS_TABLE), fmt)
     report.rows[C.RAW_CODES_TABLE] = write_table(
         ingest_dictionary(dictionary_pages), name(C.RAW_CODES_TABLE), fmt)
 

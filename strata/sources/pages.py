@@ -50,10 +50,10 @@ def split_bad_pages(pages: DataFrame, body: str = "body") -> PageSplit:
     )
 
 
-def _elements(pages: DataFrame, body: str, list_field_name: str) -> DataFrame:
-    # parse_json fails the job on malformed text (fail-fast before any write);
-    # callers that prefer a quarantine run split_bad_pages first.
-    doc = F.parse_json(F.col(body))
+def _elements(pages: DataFrame, body: str, list_field_name: str, lenient: bool = False) -> DataFrame:
+    # parse_json fails the job on malformed text; with lenient=True such a
+    # page yields no rows (the quarantine path collects it separately).
+    doc = F.try_parse_json(F.col(body)) if lenient else F.parse_json(F.col(body))
     items = F.variant_get(doc, f"$.{list_field_name}", "array<variant>")
     return pages.select(F.explode(items).alias("_e"))
 
@@ -78,13 +78,16 @@ def ingest_films(
     id_column: str = C.FILM_ID,
     date_column: str = C.RELEASE_DATE,
     year_column: str = C.RELEASE_YEAR,
+    lenient: bool = False,
 ) -> DataFrame:
     """Result pages -> one typed raw row per result element.
 
     A page without the results list gives no rows. The year is the
     four-character prefix of the date text (null when empty or not a number).
     A result element whose id is JSON null fails the job: the id is the one
-    mandatory column of the raw table.
+    mandatory column of the raw table. A page that is not valid JSON fails
+    the job, or with ``lenient=True`` gives no rows (see ``split_bad_pages``
+    for the pages themselves).
     """
     e = F.col("_e")
     projected = {column: _field(e, field, kind, default)
@@ -96,7 +99,7 @@ def ingest_films(
         out.append(projected[column].alias(column))
         if column == date_column:
             out.append(year_prefix(projected[date_column]).alias(year_column))
-    return _elements(pages, body, results_field).select(*out)
+    return _elements(pages, body, results_field, lenient).select(*out)
 
 
 def ingest_dictionary(

@@ -64,3 +64,17 @@ def test_dictionary_ingest(spark):
 def test_dictionary_entry_without_name_fails(spark):
     with pytest.raises(FAILURES):
         ingest_dictionary(pages(spark, '{"genres":[{"id":1}]}')).collect()
+
+
+def test_lenient_ingest_skips_malformed_pages(spark):
+    df = ingest_films(pages(spark, '{bad', '{"results":[{"id":1}]}'), lenient=True)
+    assert [r[C.FILM_ID] for r in df.collect()] == ["1"]
+
+
+def test_read_landed_pages(spark, tmp_path):
+    from strata.sources import read_landed_pages
+    path = tmp_path / "landing"
+    path.mkdir()
+    (path / "p1.jsonl").write_text('{"results":[{"id":1}]}\n{"results":[{"id":2},{"id":3}]}\n')
+    got = sorted(r[C.FILM_ID] for r in ingest_films(read_landed_pages(spark, str(path))).collect())
+    assert got == ["1", "2", "3"]
