@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata import schemas
 from strata.functions import (
     list_field,
     number_field,
@@ -121,8 +120,3 @@ def ingest_dictionary(
         required(name, f"dictionary entry without {name_field}").alias(name_column),
     )
 
-
-def raw_films_schema_check(df: DataFrame) -> DataFrame:
-    """Columns of the raw film table in declared order and type."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                       for f in schemas.RAW_FILMS.fields])

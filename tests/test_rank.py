@@ -1,4 +1,3 @@
-import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -1,7 +1,6 @@
 import datetime as dt
 
 from helpers import raw_rows
-from pyspark.sql import functions as F
 
 from strata import catalogue as C
 from strata import schemas
