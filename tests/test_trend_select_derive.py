@@ -65,3 +65,22 @@ def test_tenure_defaults_to_today(spark):
     df = spark.createDataFrame(EMPLOYEES[:1], schemas.EMPLOYEES)
     days = tenure_columns(df).collect()[0][C.DAYS_EMPLOYED]
     assert days == (dt.date.today() - dt.date(2021, 3, 15)).days or days > 2000
+
+
+def test_exact_mean_ties_round_half_away_from_zero(spark):
+    from strata.operators.trend import exact_mean
+    rows = [("a", 4.92), ("a", 4.93), ("b", -4.92), ("b", -4.93), ("c", 2.0), ("c", 3.0),
+            ("d", -1.0), ("d", 0.0), ("e", None), ("f", 0.1), ("f", 0.2), ("f", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    got = {r.g: (r.m2, r.m0) for r in df.groupBy("g").agg(
+        exact_mean("x", 2, 2).alias("m2"), exact_mean("x", 0, 2).alias("m0")).collect()}
+    assert got == {"a": (4.93, 5.0), "b": (-4.93, -5.0), "c": (2.5, 3.0), "d": (-0.5, -1.0),
+                   "e": (None, None), "f": (0.15, 0.0)}
+
+
+def test_exact_mean_does_not_depend_on_partitioning(spark):
+    from strata.operators.trend import exact_mean
+    values = [round(0.01 * i, 2) for i in range(1, 400)] + [4.925 * 2 - 0.01]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    results = {df.repartition(n).agg(exact_mean("x", 2, 2).alias("m")).first().m for n in (1, 3, 7, 16)}
+    assert len(results) == 1
