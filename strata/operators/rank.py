@@ -10,7 +10,8 @@ task. ``method="distributed"`` computes the same numbers without that limit:
    shared checkpoint folder and read twice below;
 2. one aggregate returns the number of distinct values and quantile edges of
    the distinct values (a bounded list of literals);
-3. the edges cut the distinct values into ordered buckets of similar size;
+3. the edges cut the distinct values into ordered buckets of similar size
+   (a comparison tree for few edges, ML's Bucketizer for many);
    inside each bucket a running sum of counts gives the rows before a value,
    and the bucket totals give an offset (a table of at most ``buckets + 2``
    rows, broadcast);
@@ -27,7 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from strata import catalogue as C
 from strata.operators.joins import fits
@@ -39,7 +40,9 @@ AUTO = "auto"
 
 SINGLE_TASK_ROWS = 2_000_000   # `auto` ranks in one task up to this many rows
 VALUE_BROADCAST_ROWS = 1_000_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 65_536
+TREE_EDGES = 256               # up to here buckets are a tree of comparisons
+TREE_MAX_EDGES = 1_024         # non-numeric columns: the tree is the only form
 
 
 def rank_window(df: DataFrame, order_col: str, out_col: str = C.RANK) -> DataFrame:
@@ -66,6 +69,29 @@ def _default_buckets(df: DataFrame) -> int:
     return max(2, min(MAX_BUCKETS, partitions))
 
 
+def _with_bucket(counts: DataFrame, order_col: str, edges: list, is_float: bool,
+                 numeric: bool) -> DataFrame:
+    """Add ``_b``: -1 for null, the number of edges <= value otherwise, one
+    more than the last bucket for NaN. Few edges: a comparison tree inside
+    codegen. Many edges on a numeric column: ML's ``Bucketizer`` (a binary
+    search in the JVM; cast to double keeps the order)."""
+    value = F.col(order_col)
+    if len(edges) <= TREE_EDGES or not numeric:
+        bucket = _bucket_of(value, edges)
+        if is_float:
+            bucket = F.when(F.isnan(value), F.lit(len(edges) + 1)).otherwise(bucket)
+        return counts.withColumn("_b", F.when(value.isNull(), F.lit(-1)).otherwise(bucket))
+    from pyspark.ml.feature import Bucketizer
+
+    splits = sorted({float(e) for e in edges})
+    bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_vd",
+                            outputCol="_bd", handleInvalid="keep")
+    staged = bucketizer.transform(counts.withColumn("_vd", value.cast("double")))
+    return staged.withColumn(
+        "_b", F.when(value.isNull(), F.lit(-1)).otherwise(F.col("_bd").cast("int"))
+    ).drop("_vd", "_bd")
+
+
 def rank_distributed(
     df: DataFrame,
     order_col: str,
@@ -79,12 +105,16 @@ def rank_distributed(
     """
     checkpoint_dir(df.sparkSession)
     value = F.col(order_col)
-    is_float = isinstance(df.schema[order_col].dataType, (DoubleType, FloatType))
+    dtype = df.schema[order_col].dataType
+    is_float = isinstance(dtype, (DoubleType, FloatType))
+    numeric = isinstance(dtype, NumericType)
 
     counts = (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
               .checkpoint(eager=True))
 
     k = max(2, buckets or _default_buckets(df))
+    if not numeric:
+        k = min(k, TREE_MAX_EDGES + 1)
     plain = F.when(~F.isnan(value), value) if is_float else value
     stats = counts.agg(
         F.count(F.lit(1)).alias("distinct_values"),
@@ -92,12 +122,7 @@ def rank_distributed(
         .alias("edges"),
     ).first()
     edges = sorted({e for e in (stats["edges"] or []) if e is not None})
-
-    bucket = _bucket_of(value, edges)
-    if is_float:
-        bucket = F.when(F.isnan(value), F.lit(len(edges) + 1)).otherwise(bucket)
-    bucket = F.when(value.isNull(), F.lit(-1)).otherwise(bucket)
-    bucketed = counts.withColumn("_b", bucket)
+    bucketed = _with_bucket(counts, order_col, edges, is_float, numeric)
 
     before = Window.partitionBy("_b").orderBy(value.desc()) \
                    .rowsBetween(Window.unboundedPreceding, -1)

@@ -103,3 +103,14 @@ def test_window_method_only_on_proven_size(spark):
     assert "SinglePartition" in small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in big._jdf.queryExecution().executedPlan().toString()
     assert ranks(small) == ranks(big)
+
+
+def test_many_buckets_use_the_bucketizer_and_agree(spark):
+    values = [float((i * 7919) % 3001) for i in range(3000)] + [None, float("nan"), float("inf")] * 5
+    df = frame(spark, values).repartition(4)
+    out = rank_distributed(df, "v", "r", buckets=900)
+    assert "bucketizer" in out._jdf.queryExecution().executedPlan().toString()
+    assert ranks(out) == ranks(rank_window(df, "v", "r"))
+    ints = spark.createDataFrame([(i, (i * 31) % 997) for i in range(2500)], "id int, n bigint")
+    assert ranks(rank_distributed(ints, "n", "r", buckets=700).withColumnRenamed("n", "v")) == \
+        ranks(rank_window(ints, "n", "r"))
