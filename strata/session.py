@@ -45,7 +45,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Used for ``DataFrame.checkpoint()`` and for intermediate tables. Only when
     the session names none (local tests) is a fresh folder set here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current:
         return current
