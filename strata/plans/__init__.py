@@ -9,6 +9,8 @@ from strata.plans.layers import (
     ranking_order,
     run_layers,
     silver,
+    sorted_ranking,
+    sorted_trend,
 )
 
 __all__ = [
@@ -20,4 +22,6 @@ __all__ = [
     "ranking_order",
     "run_layers",
     "silver",
+    "sorted_ranking",
+    "sorted_trend",
 ]

@@ -61,6 +61,18 @@ def preview(ranking: DataFrame, n: int = 10) -> DataFrame:
     return top_n(ranking, n, ranking_order())
 
 
+def sorted_ranking(ranking: DataFrame) -> DataFrame:
+    """The whole ranking in rank order, for readers that need it sorted: a
+    range-partitioned sort (sampled bounds, every task sorts its range), never
+    a single partition."""
+    return ranking.orderBy(*ranking_order())
+
+
+def sorted_trend(trend: DataFrame) -> DataFrame:
+    """The trend in year order."""
+    return trend.orderBy(F.col(C.RELEASE_YEAR).asc())
+
+
 def gold_top(silver_df: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` rows of the gold ranking straight from silver: the same
     rows and ranks as ``preview(gold_ranking(silver_df), n)``, from a top-n

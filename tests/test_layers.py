@@ -91,3 +91,17 @@ def test_bad_page_fails_before_any_write(spark, small_sf):
     with pytest.raises((PySparkException, Py4JJavaError)):
         run_layers(spark, pages, t.dictionary_pages(), database=database, location=location)
     assert spark.table(good.table(C.RAW_FILMS_TABLE)).count() == before
+
+
+def test_sorted_ranking_is_range_partitioned(spark, small_sf):
+    from strata.plans import sorted_ranking, sorted_trend
+    t = DriverTables(spark, small_sf)
+    s = silver(t.raw_catalog(), t.code_dictionary())
+    ranking = gold_ranking(s, method="distributed")
+    out = sorted_ranking(ranking)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in p
+    ranks = [r[C.RANK] for r in out.collect()]
+    assert ranks == sorted(ranks) and ranks[0] == 1
+    years = [r[C.RELEASE_YEAR] for r in sorted_trend(gold_trend(s)).collect()]
+    assert years == sorted(years)
