@@ -105,3 +105,12 @@ def test_sorted_ranking_is_range_partitioned(spark, small_sf):
     assert ranks == sorted(ranks) and ranks[0] == 1
     years = [r[C.RELEASE_YEAR] for r in sorted_trend(gold_trend(s)).collect()]
     assert years == sorted(years)
+
+
+def test_layered_ranking_is_the_same_with_either_rank_method(spark, small_sf):
+    t = DriverTables(spark, small_sf)
+    tables = []
+    for method in ("auto", "distributed"):
+        report = _run(spark, t, rank_method=method)
+        tables.append(sorted(tuple(r) for r in spark.table(report.table(C.RANKING_TABLE)).collect()))
+    assert tables[0] == tables[1]
