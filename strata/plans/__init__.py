@@ -2,6 +2,9 @@
 
 from strata.plans.layers import (
     LayerReport,
+    dictionary_job,
+    films_job,
+    gold_job,
     gold_ranking,
     gold_top,
     gold_trend,
@@ -9,12 +12,16 @@ from strata.plans.layers import (
     ranking_order,
     run_layers,
     silver,
+    silver_job,
     sorted_ranking,
     sorted_trend,
 )
 
 __all__ = [
     "LayerReport",
+    "dictionary_job",
+    "films_job",
+    "gold_job",
     "gold_ranking",
     "gold_top",
     "gold_trend",
@@ -22,6 +29,7 @@ __all__ = [
     "ranking_order",
     "run_layers",
     "silver",
+    "silver_job",
     "sorted_ranking",
     "sorted_trend",
 ]

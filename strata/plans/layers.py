@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata import catalogue as C
 from strata.operators import clean, global_rank, resolve_codes, top_n, top_ranked, yearly_trend
-from strata.operators.rank import AUTO
+from strata.operators.rank import AUTO, WINDOW
 from strata.sources import (
     ensure_database,
     ingest_dictionary,
@@ -91,17 +91,19 @@ class LayerReport:
         return qualified(self.database, name)
 
 
-def run_layers(
+# ---------------------------------------------------------------------------
+# The four jobs. Each reads its inputs (landed pages or the previous layer's
+# tables) and overwrites its own tables; the row counts come back observed.
+# ---------------------------------------------------------------------------
+
+def films_job(
     spark: SparkSession,
     film_pages: DataFrame,
-    dictionary_pages: DataFrame,
     database: str = C.DATABASE,
-    location: str | None = None,
     fmt: str = "parquet",
     bad_pages: str = "fail",
-    rank_method: str = AUTO,
 ) -> LayerReport:
-    """Ingest, clean, resolve and summarise; five tables, each overwritten.
+    """Landed result pages -> raw film table.
 
     ``bad_pages="fail"`` fails before any table is written when a page is
     not valid JSON or a result has a null id: the ingest runs once as a dry
@@ -115,24 +117,77 @@ def run_layers(
     elif bad_pages != "quarantine":
         raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
     lenient = bad_pages == "quarantine"
-
-    ensure_database(spark, database, location)
     report = LayerReport(database)
-    name = report.table
     if lenient:
         report.quarantined_pages = write_table(
-            split_bad_pages(film_pages).bad, name(C.RAW_FILMS_TABLE + "_quarantine"), fmt)
-
+            split_bad_pages(film_pages).bad, report.table(C.RAW_FILMS_TABLE + "_quarantine"), fmt)
     report.rows[C.RAW_FILMS_TABLE] = write_table(
-        ingest_films(film_pages, lenient=lenient), name(C.RAW_FILMS_TABLE), fmt)
+        ingest_films(film_pages, lenient=lenient), report.table(C.RAW_FILMS_TABLE), fmt)
+    return report
+
+
+def dictionary_job(
+    spark: SparkSession,
+    dictionary_pages: DataFrame,
+    database: str = C.DATABASE,
+    fmt: str = "parquet",
+) -> LayerReport:
+    """Landed dictionary pages -> raw code table."""
+    report = LayerReport(database)
     report.rows[C.RAW_CODES_TABLE] = write_table(
-        ingest_dictionary(dictionary_pages), name(C.RAW_CODES_TABLE), fmt)
+        ingest_dictionary(dictionary_pages), report.table(C.RAW_CODES_TABLE), fmt)
+    return report
+
+
+def silver_job(spark: SparkSession, database: str = C.DATABASE, fmt: str = "parquet") -> LayerReport:
+    """Raw film and code tables -> silver table."""
+    report = LayerReport(database)
+    raw = spark.table(report.table(C.RAW_FILMS_TABLE))
+    codes = spark.table(report.table(C.RAW_CODES_TABLE))
+    report.rows[C.SILVER_TABLE] = write_table(silver(raw, codes), report.table(C.SILVER_TABLE), fmt)
+    return report
 
-    silver_df = silver(spark.table(name(C.RAW_FILMS_TABLE)), spark.table(name(C.RAW_CODES_TABLE)))
-    report.rows[C.SILVER_TABLE] = write_table(silver_df, name(C.SILVER_TABLE), fmt)
 
-    stored = spark.table(name(C.SILVER_TABLE))
-    ranking = gold_ranking(stored, method=rank_method, row_count=report.rows[C.SILVER_TABLE])
-    report.rows[C.RANKING_TABLE] = write_table(ranking, name(C.RANKING_TABLE), fmt)
-    report.rows[C.TREND_TABLE] = write_table(gold_trend(stored), name(C.TREND_TABLE), fmt)
+def gold_job(
+    spark: SparkSession,
+    database: str = C.DATABASE,
+    fmt: str = "parquet",
+    rank_method: str = AUTO,
+    silver_rows: int | None = None,
+) -> LayerReport:
+    """Silver table -> ranking and trend tables. ``silver_rows`` (e.g. observed
+    by the silver job) lets ``rank_method="auto"`` rank small tables in one
+    task; without it, ``auto`` checks the stored table's size with a bounded
+    count (see :func:`strata.operators.global_rank`, ``method="window"``)."""
+    report = LayerReport(database)
+    stored = spark.table(report.table(C.SILVER_TABLE))
+    if rank_method == AUTO and silver_rows is None:
+        rank_method = WINDOW
+    ranking = gold_ranking(stored, method=rank_method, row_count=silver_rows)
+    report.rows[C.RANKING_TABLE] = write_table(ranking, report.table(C.RANKING_TABLE), fmt)
+    report.rows[C.TREND_TABLE] = write_table(gold_trend(stored), report.table(C.TREND_TABLE), fmt)
+    return report
+
+
+def run_layers(
+    spark: SparkSession,
+    film_pages: DataFrame,
+    dictionary_pages: DataFrame,
+    database: str = C.DATABASE,
+    location: str | None = None,
+    fmt: str = "parquet",
+    bad_pages: str = "fail",
+    rank_method: str = AUTO,
+) -> LayerReport:
+    """The four jobs in order: five tables, each overwritten, each layer
+    reading the tables of the one before. See :func:`films_job` for
+    ``bad_pages``."""
+    if bad_pages not in ("fail", "quarantine"):
+        raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
+    ensure_database(spark, database, location)
+    report = films_job(spark, film_pages, database, fmt, bad_pages)
+    report.rows.update(dictionary_job(spark, dictionary_pages, database, fmt).rows)
+    report.rows.update(silver_job(spark, database, fmt).rows)
+    report.rows.update(gold_job(spark, database, fmt, rank_method,
+                                silver_rows=report.rows[C.SILVER_TABLE]).rows)
     return report

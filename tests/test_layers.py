@@ -114,3 +114,20 @@ def test_layered_ranking_is_the_same_with_either_rank_method(spark, small_sf):
         report = _run(spark, t, rank_method=method)
         tables.append(sorted(tuple(r) for r in spark.table(report.table(C.RANKING_TABLE)).collect()))
     assert tables[0] == tables[1]
+
+
+def test_jobs_from_the_command_line(spark, small_sf):
+    from strata.__main__ import main
+    t = DriverTables(spark, small_sf)
+    base = scratch_path(spark, "cli")
+    t.film_pages().write.text(f"{base}/films")
+    t.dictionary_pages().write.text(f"{base}/codes")
+    database = "cli_" + base.rsplit("-", 1)[-1]
+    common = ["--database", database, "--location", f"{base}/db"]
+    assert main(["films", "--pages", f"{base}/films", *common])["rows"] == {C.RAW_FILMS_TABLE: t.orders.count()}
+    assert main(["dictionary", "--pages", f"{base}/codes", *common])["rows"] == {C.RAW_CODES_TABLE: 25}
+    silver_rows = main(["silver", *common])["rows"][C.SILVER_TABLE]
+    gold = main(["gold", *common])["rows"]
+    assert gold[C.RANKING_TABLE] == silver_rows
+    lazy = silver(t.raw_catalog(), t.code_dictionary())
+    assert silver_rows > 0 and gold[C.TREND_TABLE] == gold_trend(lazy).count()
