@@ -28,7 +28,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import (
+    DateType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from strata import catalogue as C
 from strata.operators.joins import fits
@@ -106,6 +113,9 @@ def rank_distributed(
     checkpoint_dir(df.sparkSession)
     value = F.col(order_col)
     dtype = df.schema[order_col].dataType
+    if not isinstance(dtype, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        raise TypeError(f"distributed rank needs a numeric, date or timestamp column; "
+                        f"{order_col!r} is {dtype.simpleString()}")
     is_float = isinstance(dtype, (DoubleType, FloatType))
     numeric = isinstance(dtype, NumericType)
 

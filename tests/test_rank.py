@@ -114,3 +114,10 @@ def test_many_buckets_use_the_bucketizer_and_agree(spark):
     ints = spark.createDataFrame([(i, (i * 31) % 997) for i in range(2500)], "id int, n bigint")
     assert ranks(rank_distributed(ints, "n", "r", buckets=700).withColumnRenamed("n", "v")) == \
         ranks(rank_window(ints, "n", "r"))
+
+
+def test_distributed_rank_rejects_text_columns(spark):
+    import pytest
+    df = spark.createDataFrame([("a",), ("b",)], "s string")
+    with pytest.raises(TypeError):
+        rank_distributed(df, "s", "r")
