@@ -3,7 +3,10 @@
 The same ``ingest_films`` projection as the batch ingest, applied to page
 files as they land. The file sink with a checkpoint gives exactly-once
 output: a restarted query (or a lost executor) neither drops nor repeats
-pages. A malformed page fails the query, as in the batch ingest.
+pages. A malformed page fails the query, as in the batch ingest, unless the
+ingest is lenient; then :func:`start_bad_page_capture`, a second query over
+the same files with its own checkpoint, keeps those pages in a quarantine
+table (each query exactly-once on its own).
 """
 
 from __future__ import annotations
@@ -11,7 +14,22 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.sources.pages import ingest_films
+from strata.sources.pages import ingest_films, split_bad_pages
+
+
+def _landed(spark: SparkSession, landing_path: str, max_files_per_trigger: int | None):
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(landing_path).withColumnRenamed("value", "body")
+
+
+def _start(df, table: str, checkpoint_location: str, fmt: str, available_now: bool):
+    writer = (df.writeStream.format(fmt).outputMode("append")
+              .option("checkpointLocation", checkpoint_location))
+    writer = writer.trigger(availableNow=True) if available_now \
+        else writer.trigger(processingTime="30 seconds")
+    return writer.toTable(table)
 
 
 def start_page_ingest(
@@ -22,19 +40,31 @@ def start_page_ingest(
     fmt: str = "parquet",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    lenient: bool = False,
 ) -> StreamingQuery:
     """Start a stream from JSON Lines page files under ``landing_path``
     (one page per line) into table ``table``, appending raw film rows.
 
     ``available_now=True`` processes every file present at start and stops
     (a scheduled incremental run); ``False`` keeps the query running.
+    ``lenient=True``: a page that is not valid JSON gives no rows instead of
+    failing the query (pair it with :func:`start_bad_page_capture`).
     """
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    pages = reader.load(landing_path).withColumnRenamed("value", "body")
-    writer = (ingest_films(pages).writeStream.format(fmt).outputMode("append")
-              .option("checkpointLocation", checkpoint_location))
-    writer = writer.trigger(availableNow=True) if available_now \
-        else writer.trigger(processingTime="30 seconds")
-    return writer.toTable(table)
+    pages = _landed(spark, landing_path, max_files_per_trigger)
+    return _start(ingest_films(pages, lenient=lenient), table, checkpoint_location, fmt,
+                  available_now)
+
+
+def start_bad_page_capture(
+    spark: SparkSession,
+    landing_path: str,
+    table: str,
+    checkpoint_location: str,
+    fmt: str = "parquet",
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Start a stream that appends the landed pages that are not valid JSON
+    to ``table`` (the quarantine of a lenient :func:`start_page_ingest`)."""
+    pages = _landed(spark, landing_path, max_files_per_trigger)
+    return _start(split_bad_pages(pages).bad, table, checkpoint_location, fmt, available_now)

@@ -25,3 +25,17 @@ def test_stream_ingest_is_incremental_and_equals_batch(spark, small_sf):
     batch = sorted(tuple(r) for r in ingest_films(pages).collect())
     assert streamed == batch and n1 < len(batch)
     assert spark.table(table).columns[0] == C.FILM_ID
+
+
+def test_stream_quarantine_keeps_going_past_a_bad_page(spark, small_sf):
+    from strata.streaming import start_bad_page_capture
+    t = DriverTables(spark, small_sf)
+    base = scratch_path(spark, "stream-q")
+    suffix = base.rsplit("-", 1)[-1]
+    landing, table, bad_table = f"{base}/landing", f"streamq_{suffix}", f"streamq_bad_{suffix}"
+    pages = t.film_pages()
+    pages.unionByName(spark.createDataFrame([("{bad",)], "body string")).write.text(f"{landing}/b1")
+    start_page_ingest(spark, f"{landing}/*", table, f"{base}/ck", lenient=True).awaitTermination()
+    start_bad_page_capture(spark, f"{landing}/*", bad_table, f"{base}/ck_bad").awaitTermination()
+    assert spark.table(table).count() == ingest_films(pages).count()
+    assert [r.body for r in spark.table(bad_table).collect()] == ["{bad"]
