@@ -131,3 +131,17 @@ def test_jobs_from_the_command_line(spark, small_sf):
     assert gold[C.RANKING_TABLE] == silver_rows
     lazy = silver(t.raw_catalog(), t.code_dictionary())
     assert silver_rows > 0 and gold[C.TREND_TABLE] == gold_trend(lazy).count()
+
+
+def test_all_jobs_from_the_command_line(spark, small_sf):
+    from strata.__main__ import main
+    t = DriverTables(spark, small_sf)
+    base = scratch_path(spark, "cli-all")
+    t.film_pages().write.text(f"{base}/films")
+    t.dictionary_pages().write.text(f"{base}/codes")
+    database = "cliall_" + base.rsplit("-", 1)[-1]
+    out = main(["all", "--pages", f"{base}/films", "--dictionary-pages", f"{base}/codes",
+                "--database", database, "--location", f"{base}/db", "--bad-pages", "quarantine"])
+    assert out["quarantined_pages"] == 0
+    assert out["rows"][C.RAW_FILMS_TABLE] == t.orders.count()
+    assert out["rows"][C.RANKING_TABLE] == out["rows"][C.SILVER_TABLE]
