@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators.joins import BROADCAST_ROWS, fits, sized_broadcast
+from strata.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, fits, sized_broadcast
 
 # Code lists longer than this are resolved with the grouped form.
 MAX_POSITIONS = 16
@@ -101,7 +101,7 @@ def resolve_codes_by_position(
     parts = F.split(F.col(codes_col), re.escape(code_separator))
     longest = rows.agg(F.max(F.size(parts)).alias("m")).first()["m"] or 0
     names = dictionary.groupBy(code_col).agg(F.sort_array(F.collect_list(name_col)).alias("_names"))
-    if longest > max_positions or not fits(names, broadcast_rows):
+    if longest > max_positions or not fits(names, broadcast_rows, BROADCAST_BYTES):
         return resolve_codes(rows, dictionary, codes_col, keep_cols, code_col, name_col,
                              out_col, separator, code_separator, broadcast_rows)
 

@@ -2,25 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Default row bound for a broadcast side. A few hundred thousand narrow rows
-# stay in the tens of megabytes per executor.
+# Default bounds for a broadcast side: a few hundred thousand narrow rows,
+# at most 64 MB of column data, per executor.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+FIXED_WIDTH_BYTES = 8   # estimate for a non-text column value
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _value_bytes(name: str, dtype) -> Column:
+    if isinstance(dtype, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    if isinstance(dtype, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.col(name))), F.lit(0))
+    return F.lit(FIXED_WIDTH_BYTES)
 
-    The check reads no columns and stops each partition after
-    ``max_rows + 1`` rows, so it costs little even on a large input.
-    """
-    return df.select(F.lit(1).alias("_one")).limit(max_rows + 1).count() <= max_rows
+
+def _row_bytes(df: DataFrame) -> Column:
+    sizes = [_value_bytes(f.name, f.dataType) for f in df.schema.fields]
+    total = sizes[0]
+    for size in sizes[1:]:
+        total = total + size
+    return total
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is within ``max_rows``; otherwise
-    ``df`` unchanged, so the join is planned as a shuffle join, where AQE
-    splits skewed partitions at run time."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and, if given, at most
+    ``max_bytes`` of column data: text by its length, nested values by the
+    length of their JSON text, other values 8 bytes).
+
+    One action over at most ``max_rows + 1`` rows per partition (a limit), so
+    it costs little even on a large input.
+    """
+    limited = df.limit(max_rows + 1)
+    if max_bytes is None or not df.columns:
+        return limited.select(F.lit(1).alias("_one")).count() <= max_rows
+    stats = limited.agg(F.count(F.lit(1)).alias("rows"),
+                        F.sum(_row_bytes(df)).alias("bytes")).first()
+    return stats["rows"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
+
+
+def sized_broadcast(
+    df: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``broadcast(df)`` when its size is within both bounds; otherwise ``df``
+    unchanged, so the join is planned as a shuffle join, where AQE splits
+    skewed partitions at run time."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
