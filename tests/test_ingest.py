@@ -78,3 +78,13 @@ def test_read_landed_pages(spark, tmp_path):
     (path / "p1.jsonl").write_text('{"results":[{"id":1}]}\n{"results":[{"id":2},{"id":3}]}\n')
     got = sorted(r[C.FILM_ID] for r in ingest_films(read_landed_pages(spark, str(path))).collect())
     assert got == ["1", "2", "3"]
+
+
+def test_read_landed_pages_one_per_file(spark, tmp_path):
+    from strata.sources import read_landed_pages
+    path = tmp_path / "responses"
+    path.mkdir()
+    (path / "page1.json").write_text('{\n  "page": 1,\n  "results": [\n    {"id": 1},\n    {"id": 2}\n  ]\n}\n')
+    (path / "page2.json").write_text('{"page": 2, "results": [{"id": 3, "title": null}]}')
+    got = sorted(r[C.FILM_ID] for r in ingest_films(read_landed_pages(spark, str(path), whole_files=True)).collect())
+    assert got == ["1", "2", "3"]
