@@ -35,8 +35,7 @@ def read_landed_pages(spark: SparkSession, path: str, whole_files: bool = False)
     """Landed pages -> one ``body`` row per page: JSON Lines files (one page
     per line), or with ``whole_files=True`` one page per file (a saved
     response, possibly spread over many lines)."""
-    reader = spark.read.option("wholetext", "true") if whole_files else spark.read
-    return reader.text(path).withColumnRenamed("value", "body")
+    return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "body")
 
 
 def split_bad_pages(pages: DataFrame, body: str = "body") -> PageSplit:
