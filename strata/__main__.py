@@ -6,8 +6,9 @@
     python -m strata gold [--rank-method auto|window|distributed]
     python -m strata all --pages PATH --dictionary-pages PATH
 
-Pages are JSON Lines files (one page per line). The session comes from the
-environment (cluster settings, ``spark.checkpoint.dir``).
+Pages are JSON Lines files (one page per line), or one page per file with
+``--whole-files``. The session comes from the environment (cluster
+settings, ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -32,23 +33,28 @@ def main(argv: list[str] | None = None) -> dict:
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--bad-pages", default="fail", choices=["fail", "quarantine"])
     parser.add_argument("--rank-method", default="auto", choices=["auto", "window", "distributed"])
+    parser.add_argument("--whole-files", action="store_true",
+                        help="one page per file (saved responses) instead of JSON Lines")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"strata-{args.job}").getOrCreate()
+
+    def landed(path: str):
+        return read_landed_pages(spark, path, whole_files=args.whole_files)
+
     ensure_database(spark, args.database, args.location)
     if args.job == "films":
-        report = films_job(spark, read_landed_pages(spark, args.pages), args.database,
+        report = films_job(spark, landed(args.pages), args.database,
                            args.format, args.bad_pages)
     elif args.job == "dictionary":
-        report = dictionary_job(spark, read_landed_pages(spark, args.pages), args.database,
+        report = dictionary_job(spark, landed(args.pages), args.database,
                                 args.format)
     elif args.job == "silver":
         report = silver_job(spark, args.database, args.format)
     elif args.job == "gold":
         report = gold_job(spark, args.database, args.format, args.rank_method)
     else:
-        report = run_layers(spark, read_landed_pages(spark, args.pages),
-                            read_landed_pages(spark, args.dictionary_pages), args.database,
+        report = run_layers(spark, landed(args.pages), landed(args.dictionary_pages), args.database,
                             args.location, args.format, args.bad_pages, args.rank_method)
     summary = {"database": report.database, "rows": report.rows,
                "quarantined_pages": report.quarantined_pages}
