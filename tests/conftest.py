@@ -11,10 +11,12 @@ SMALL_SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from strata.session import build_session
 
-    session = build_session("local[*]", shuffle_partitions=8, app_name="strata-tests")
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = build_session("local[*]", shuffle_partitions=8, app_name="strata-tests",
+                            extra={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 
