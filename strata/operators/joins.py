@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_WIDTH_BYTES = 8   # estimate for a non-text column value
+TAKE_ROWS = 250_000     # row bounds up to here are checked with an early-stopping take
 
 
 def _value_bytes(name: str, dtype) -> Column:
@@ -34,15 +35,23 @@ def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
     ``max_bytes`` of column data: text by its length, nested values by the
     length of their JSON text, other values 8 bytes).
 
-    One action over at most ``max_rows + 1`` rows per partition (a limit), so
-    it costs little even on a large input.
+    Up to ``TAKE_ROWS`` the row check is an incremental take of column-less
+    rows (``limit(n).collect()``): Spark scans one partition, then more, and
+    stops once ``max_rows + 1`` rows exist, so a large input costs a few
+    partitions and at most ``max_rows + 1`` empty rows reach the driver.
+    Larger bounds use ``count()``: a full pass, but each task sends one
+    partial count. (``limit(n).count()`` is avoided: every partition would
+    ship up to n rows into one task.) The byte sum runs only once the row
+    bound holds, over at most ``max_rows`` rows.
     """
-    limited = df.limit(max_rows + 1)
-    if max_bytes is None or not df.columns:
-        return limited.select(F.lit(1).alias("_one")).count() <= max_rows
-    stats = limited.agg(F.count(F.lit(1)).alias("rows"),
-                        F.sum(_row_bytes(df)).alias("bytes")).first()
-    return stats["rows"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
+    if max_rows <= TAKE_ROWS:
+        small = len(df.select().limit(max_rows + 1).collect()) <= max_rows
+    else:
+        small = df.count() <= max_rows
+    if not small or max_bytes is None or not df.columns:
+        return small
+    size = df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"]
+    return (size or 0) <= max_bytes
 
 
 def sized_broadcast(
