@@ -72,7 +72,8 @@ def _bucket_of(value: Column, edges: Sequence) -> Column:
 
 
 def _default_buckets(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    partitions = int(setting) if str(setting).isdigit() else 200
     return max(2, min(MAX_BUCKETS, partitions))
 
 
