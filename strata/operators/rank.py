@@ -17,7 +17,8 @@ task. ``method="distributed"`` computes the same numbers without that limit:
    rows, broadcast);
 4. the ranked distinct values are joined back to the rows on the value
    (null-safe): broadcast when the distinct count is within the bound,
-   otherwise a shuffle join, where AQE splits a hot value's partition.
+   otherwise a shuffle join in which hot values (known from step 1) are
+   salted over several partitions.
 
 Order follows Spark's ``desc``: NaN first, nulls last; NaN equals NaN.
 """
@@ -48,6 +49,7 @@ AUTO = "auto"
 SINGLE_TASK_ROWS = 2_000_000   # `auto` ranks in one task up to this many rows
 VALUE_BROADCAST_ROWS = 1_000_000
 MAX_BUCKETS = 65_536
+MAX_SALTS = 256                # join-back partitions one hot value may spread over
 TREE_EDGES = 256               # up to here buckets are a tree of comparisons
 TREE_MAX_EDGES = 1_024         # non-numeric columns: the tree is the only form
 
@@ -129,6 +131,7 @@ def rank_distributed(
     plain = F.when(~F.isnan(value), value) if is_float else value
     stats = counts.agg(
         F.count(F.lit(1)).alias("distinct_values"),
+        F.sum("_n").alias("rows"),
         F.percentile_approx(plain, [i / k for i in range(1, k)], max(10_000, 20 * k))
         .alias("edges"),
     ).first()
@@ -146,10 +149,42 @@ def rank_distributed(
     ranked = within.join(F.broadcast(offsets), "_b").select(
         value.alias("_v"),
         (F.col("_off") + F.col("_w") + 1).cast("int").alias(out_col),
+        "_n",
     )
     if stats["distinct_values"] <= broadcast_rows:
-        ranked = F.broadcast(ranked)
-    return df.join(ranked, df[order_col].eqNullSafe(ranked["_v"]), "inner").drop("_v")
+        ranked = F.broadcast(ranked.drop("_n"))
+        return df.join(ranked, df[order_col].eqNullSafe(ranked["_v"]), "inner").drop("_v")
+    return _salted_join_back(df, order_col, ranked, stats["rows"] or 0, k)
+
+
+def _salted_join_back(df: DataFrame, order_col: str, ranked: DataFrame, rows: int,
+                      k: int) -> DataFrame:
+    """Shuffle join of the rows with their ranked values, with hot values split.
+
+    A value holding more than half of an even partition share (``rows / 2k``)
+    gets ``s = ceil(k * count / rows)`` salts (at most ``MAX_SALTS``): its
+    rows pick a salt at random and its ranked entry is repeated once per
+    salt, so its rows spread over ``s`` join partitions in pieces of about
+    one even partition share. Every salt carries the same rank, so the
+    result does not depend on which salt a row picks. At most ``2k`` values
+    are hot and the repeated entries number at most about ``3k``; the hot
+    list is broadcast.
+    """
+    hot_limit = max(1, rows // (2 * k))
+    salts = F.least(F.lit(MAX_SALTS),
+                    F.ceil(F.col("_n") * F.lit(k) / F.lit(max(rows, 1)))).cast("int")
+    hot = F.broadcast(ranked.filter(F.col("_n") > hot_limit)
+                      .select(F.col("_v").alias("_hv"), salts.alias("_hs")))
+    tagged = df.join(hot, df[order_col].eqNullSafe(hot["_hv"]), "left").withColumn(
+        "_s", F.when(F.col("_hs").isNotNull(),
+                     F.floor(F.rand(17) * F.col("_hs")).cast("int")).otherwise(F.lit(0))
+    ).drop("_hv", "_hs")
+    spread = ranked.withColumn("_rs", F.explode(F.when(
+        F.col("_n") > hot_limit, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
+    joined = tagged.join(
+        spread, tagged[order_col].eqNullSafe(spread["_v"]) & (tagged["_s"] == spread["_rs"]),
+        "inner")
+    return joined.drop("_v", "_n", "_s", "_rs")
 
 
 def global_rank(
@@ -168,9 +203,8 @@ def global_rank(
     * ``method="auto"``: the window when the caller passes a ``row_count``
       within ``single_task_rows`` (e.g. the count observed when the input
       table was written), otherwise the distributed form, with no extra pass;
-    * ``method="window"``: the window when ``row_count`` or a bounded count
-      (at most ``single_task_rows + 1`` rows per partition) shows the input
-      fits, otherwise the distributed form;
+    * ``method="window"``: the window when ``row_count`` or a count (partial
+      counts per task) shows the input fits, otherwise the distributed form;
     * ``method="distributed"``: always the distributed form.
     """
     if method not in (AUTO, WINDOW, DISTRIBUTED):

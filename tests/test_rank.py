@@ -121,3 +121,22 @@ def test_distributed_rank_rejects_text_columns(spark):
     df = spark.createDataFrame([("a",), ("b",)], "s string")
     with pytest.raises(TypeError):
         rank_distributed(df, "s", "r")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.sampled_from([0.0, -0.0, 1.5, 7.25, float("nan"), float("inf")]),
+                          st.floats(allow_nan=True, allow_infinity=True, width=64),
+                          st.none()), min_size=1, max_size=80),
+       st.integers(min_value=2, max_value=6))
+def test_salted_shuffle_join_back_equals_window(spark, values, buckets):
+    df = frame(spark, values).repartition(4)
+    got = ranks(rank_distributed(df, "v", "r", buckets=buckets, broadcast_rows=0))
+    assert got == ranks(rank_window(df, "v", "r"))
+
+
+def test_salted_join_back_with_a_third_on_one_value(spark):
+    values = [42.0] * 3000 + [float(i % 500) for i in range(6000)] + [None] * 3000
+    df = frame(spark, values).repartition(8)
+    out = rank_distributed(df, "v", "r", buckets=8, broadcast_rows=0)
+    assert ranks(out) == ranks(rank_window(df, "v", "r"))
+    assert out.columns == ["id", "v", "r"]

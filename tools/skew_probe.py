@@ -3,7 +3,10 @@ one row, or fall in one year; reports, per operator, the largest share of
 shuffle records any single task read, over every stage that reads a shuffle,
 and the shuffle records read in total.
 
-    python tools/skew_probe.py [/root/testdata/sf0.1]
+    python tools/skew_probe.py [/root/testdata/sf0.1] [copies]
+
+``copies`` repeats every lineitem row that many times (default 1) to probe
+larger inputs.
 
 Reads Spark's event log from a fresh scratch folder. Input is derived from
 ``lineitem`` (every row kept); nothing here is part of the library.
@@ -27,10 +30,15 @@ from strata.operators import rank_distributed, resolve_codes, yearly_trend  # no
 from strata.session import build_session  # noqa: E402
 
 
-def skewed_films(lineitem):
+def skewed_films(lineitem, copies: int = 1):
     """Film-shaped rows: a third share one popularity value, a third are
     copies of one row (key columns and codes), a third fall in 1995."""
-    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    if copies > 1:
+        lineitem = lineitem.select(
+            "*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy"))
+    else:
+        lineitem = lineitem.withColumn("_copy", F.lit(0))
+    k = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * copies + F.col("_copy")
     third = F.pmod(F.xxhash64(k), F.lit(3))
     copy = third == 1
     return lineitem.select(
@@ -90,6 +98,7 @@ def task_shares(log_dir: str) -> dict[str, tuple[float, float, int]]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 1
     log_dir = tempfile.mkdtemp(prefix="strata-skew-events-")
     # AQE splits skewed join partitions above these sizes; scaled down from
     # the defaults (256 MB / 64 MB) to the probe's data size.
@@ -104,8 +113,8 @@ def main() -> None:
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     # The test file is one row group, i.e. one map task; real inputs arrive
     # from many (AQE splits a skewed partition along map-output boundaries).
-    films = skewed_films(spark.read.parquet(f"{sf_dir}/lineitem.parquet")) \
-        .repartition(16).checkpoint()
+    films = skewed_films(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), copies) \
+        .repartition(16 * copies).checkpoint()
     codes = spark.createDataFrame([("18", "Drama"), ("35", "Comedia"), ("28", "Azione")],
                                   "genero_id string, genero_nombre string")
     rows = films.count()
