@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> dict:
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--bad-pages", default="fail", choices=["fail", "quarantine"])
     parser.add_argument("--rank-method", default="auto", choices=["auto", "window", "distributed"])
+    parser.add_argument("--unique-rows", action="store_true",
+                        help="film rows are unique: resolve codes without shuffling them")
     parser.add_argument("--whole-files", action="store_true",
                         help="one page per file (saved responses) instead of JSON Lines")
     args = parser.parse_args(argv)
@@ -50,12 +52,13 @@ def main(argv: list[str] | None = None) -> dict:
         report = dictionary_job(spark, landed(args.pages), args.database,
                                 args.format)
     elif args.job == "silver":
-        report = silver_job(spark, args.database, args.format)
+        report = silver_job(spark, args.database, args.format, args.unique_rows)
     elif args.job == "gold":
         report = gold_job(spark, args.database, args.format, args.rank_method)
     else:
         report = run_layers(spark, landed(args.pages), landed(args.dictionary_pages), args.database,
-                            args.location, args.format, args.bad_pages, args.rank_method)
+                            args.location, args.format, args.bad_pages, args.rank_method,
+                            args.unique_rows)
     summary = {"database": report.database, "rows": report.rows,
                "quarantined_pages": report.quarantined_pages}
     print(json.dumps(summary))

@@ -14,7 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators import clean, global_rank, resolve_codes, top_n, top_ranked, yearly_trend
+from strata.operators import (
+    clean,
+    global_rank,
+    resolve_codes,
+    resolve_codes_by_position,
+    top_n,
+    top_ranked,
+    yearly_trend,
+)
 from strata.operators.rank import AUTO, WINDOW
 from strata.sources import (
     ensure_database,
@@ -26,9 +34,16 @@ from strata.sources import (
 )
 
 
-def silver(raw_films: DataFrame, raw_codes: DataFrame) -> DataFrame:
-    """Clean the raw films, then resolve their code lists to names."""
-    return resolve_codes(clean(raw_films), raw_codes)
+def silver(raw_films: DataFrame, raw_codes: DataFrame, unique_rows: bool = False) -> DataFrame:
+    """Clean the raw films, then resolve their code lists to names.
+
+    ``unique_rows=True`` promises that no two cleaned rows are equal on the
+    silver key columns; the resolution then needs no shuffle of film rows
+    (``resolve_codes_by_position``). The default keeps the grouped form,
+    which merges equal rows.
+    """
+    resolve = resolve_codes_by_position if unique_rows else resolve_codes
+    return resolve(clean(raw_films), raw_codes)
 
 
 def gold_ranking(
@@ -139,12 +154,18 @@ def dictionary_job(
     return report
 
 
-def silver_job(spark: SparkSession, database: str = C.DATABASE, fmt: str = "parquet") -> LayerReport:
-    """Raw film and code tables -> silver table."""
+def silver_job(
+    spark: SparkSession,
+    database: str = C.DATABASE,
+    fmt: str = "parquet",
+    unique_rows: bool = False,
+) -> LayerReport:
+    """Raw film and code tables -> silver table (see :func:`silver`)."""
     report = LayerReport(database)
     raw = spark.table(report.table(C.RAW_FILMS_TABLE))
     codes = spark.table(report.table(C.RAW_CODES_TABLE))
-    report.rows[C.SILVER_TABLE] = write_table(silver(raw, codes), report.table(C.SILVER_TABLE), fmt)
+    report.rows[C.SILVER_TABLE] = write_table(
+        silver(raw, codes, unique_rows), report.table(C.SILVER_TABLE), fmt)
     return report
 
 
@@ -178,6 +199,7 @@ def run_layers(
     fmt: str = "parquet",
     bad_pages: str = "fail",
     rank_method: str = AUTO,
+    unique_rows: bool = False,
 ) -> LayerReport:
     """The four jobs in order: five tables, each overwritten, each layer
     reading the tables of the one before. See :func:`films_job` for
@@ -187,7 +209,7 @@ def run_layers(
     ensure_database(spark, database, location)
     report = films_job(spark, film_pages, database, fmt, bad_pages)
     report.rows.update(dictionary_job(spark, dictionary_pages, database, fmt).rows)
-    report.rows.update(silver_job(spark, database, fmt).rows)
+    report.rows.update(silver_job(spark, database, fmt, unique_rows).rows)
     report.rows.update(gold_job(spark, database, fmt, rank_method,
                                 silver_rows=report.rows[C.SILVER_TABLE]).rows)
     return report

@@ -145,3 +145,12 @@ def test_all_jobs_from_the_command_line(spark, small_sf):
     assert out["quarantined_pages"] == 0
     assert out["rows"][C.RAW_FILMS_TABLE] == t.orders.count()
     assert out["rows"][C.RANKING_TABLE] == out["rows"][C.SILVER_TABLE]
+
+
+def test_silver_for_unique_rows_equals_the_grouped_form(spark, small_sf):
+    t = DriverTables(spark, small_sf)
+    grouped = sorted(tuple(r) for r in silver(t.raw_catalog(), t.code_dictionary()).collect())
+    fast = silver(t.raw_catalog(), t.code_dictionary(), unique_rows=True)
+    assert sorted(tuple(r) for r in fast.collect()) == grouped
+    assert "Exchange hashpartitioning(pelicula_id" not in \
+        fast._jdf.queryExecution().executedPlan().toString()
