@@ -86,6 +86,12 @@ def q_silver_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(_tables(spark, sf_dir))
 
 
+def q_silver_catalog_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with the shuffle-free resolution (film ids are unique here)."""
+    t = _tables(spark, sf_dir)
+    return silver(t.raw_catalog(), t.code_dictionary(), unique_rows=True)
+
+
 def q_gold_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_ranking(_silver(_tables(spark, sf_dir)), method=DISTRIBUTED)
 
@@ -153,6 +159,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolve_codes": q_resolve_codes,
     "resolve_codes_by_position": q_resolve_codes_by_position,
     "silver_catalog": q_silver_catalog,
+    "silver_catalog_unique": q_silver_catalog_unique,
     "gold_ranking": q_gold_ranking,
     "gold_ranking_window": q_gold_ranking_window,
     "rank_lineitem_price": q_rank_lineitem_price,
@@ -291,6 +298,7 @@ WHERE position <= 200""",
     "resolve_codes_by_position": _with(_RAW_CATALOG, _CODE_DICT, _resolved("resolved", "raw_catalog"))
     + "SELECT * FROM resolved",
     "silver_catalog": _with(*_SILVER_CHAIN) + "SELECT * FROM silver",
+    "silver_catalog_unique": _with(*_SILVER_CHAIN) + "SELECT * FROM silver",
     "gold_ranking": _with(*_SILVER_CHAIN, _RANKING) + "SELECT * FROM ranking",
     "gold_ranking_window": _with(*_SILVER_CHAIN, _RANKING) + "SELECT * FROM ranking",
     "rank_lineitem_price": """
