@@ -29,7 +29,7 @@ from strata.operators import (
     tenure_columns,
 )
 from strata.operators.rank import DISTRIBUTED, WINDOW
-from strata.plans import gold_ranking, gold_top, gold_trend, run_layers, silver
+from strata.plans import gold_ranking, gold_top, gold_trend, run_layers, silver, trend_preview
 from strata.session import checkpoint_dir, scratch_path
 from strata.sources import DriverTables, ingest_dictionary, ingest_films
 
@@ -37,6 +37,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 DISCOVER_LANGUAGE = "es"
 TENURE_AS_OF = "2002-01-01"
 PREVIEW_ROWS = 10
+TREND_PREVIEW_YEARS = 20
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> DriverTables:
@@ -114,6 +115,10 @@ def q_gold_trend_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_trend(_silver(_tables(spark, sf_dir)))
 
 
+def q_trend_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trend_preview(gold_trend(_silver(_tables(spark, sf_dir))), TREND_PREVIEW_YEARS)
+
+
 def q_profile_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_range(_tables(spark, sf_dir).raw_catalog(), C.RELEASE_YEAR)
 
@@ -164,6 +169,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_ranking_window": q_gold_ranking_window,
     "rank_lineitem_price": q_rank_lineitem_price,
     "gold_trend_by_year": q_gold_trend_by_year,
+    "trend_preview": q_trend_preview,
     "profile_range": q_profile_range,
     "tenure_columns": q_tenure_columns,
     "top_ranked": q_top_ranked,
@@ -306,6 +312,8 @@ SELECT l_orderkey, l_linenumber, l_extendedprice,
        CAST(rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS INTEGER) AS ranking
 FROM lineitem""",
     "gold_trend_by_year": _with(*_SILVER_CHAIN, _TREND) + "SELECT * FROM trend",
+    "trend_preview": _with(*_SILVER_CHAIN, _TREND)
+    + "SELECT * FROM trend ORDER BY anio_estreno NULLS FIRST LIMIT 20",
     "profile_range": _with(_RAW_CATALOG) + """
 SELECT count(*) AS row_count, min(anio_estreno) AS min_anio_estreno,
        max(anio_estreno) AS max_anio_estreno

@@ -15,6 +15,7 @@ from strata.plans.layers import (
     silver_job,
     sorted_ranking,
     sorted_trend,
+    trend_preview,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "silver_job",
     "sorted_ranking",
     "sorted_trend",
+    "trend_preview",
 ]

@@ -88,6 +88,11 @@ def sorted_trend(trend: DataFrame) -> DataFrame:
     return trend.orderBy(F.col(C.RELEASE_YEAR).asc())
 
 
+def trend_preview(trend: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` years of the trend (a top-n cut: years are unique)."""
+    return top_n(trend, n, [F.col(C.RELEASE_YEAR).asc_nulls_first()])
+
+
 def gold_top(silver_df: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` rows of the gold ranking straight from silver: the same
     rows and ranks as ``preview(gold_ranking(silver_df), n)``, from a top-n
