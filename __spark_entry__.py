@@ -12,6 +12,7 @@ shapes independently).
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -346,6 +347,29 @@ UNION ALL SELECT 'gold_trend', count(*) FROM trend""",
 }
 
 
+# ---------------------------------------------------------------------------
+# Training-data operators: present only where their subpackage is installed
+# ---------------------------------------------------------------------------
+
+def _optional(name: str):
+    """The module, or None where it (not something it needs) is absent."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name is None or not (name == missing.name or name.startswith(missing.name + ".")):
+            raise
+        return None
+
+
+if (_llm := _optional("strata.llm.queries")) is not None:
+    _QUERIES |= _llm.QUERIES
+    _ORACLE |= _llm.ORACLE_SQL
+    if (_pipeline := _optional("corpus_pipeline")) is not None:
+        _QUERIES["pipeline"] = _pipeline.run
+        if _pipeline.ORACLE_SQL:
+            _ORACLE["pipeline"] = _pipeline.ORACLE_SQL
+
+
 # ---------------------------------------------------------------------------
 # Contract
 # ---------------------------------------------------------------------------
