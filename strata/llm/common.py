@@ -28,6 +28,13 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A helper column name that ``df`` does not use."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.byte_bpe import op10_byte_bpe
 from strata.llm.license_scan import op6_license_scan
+from strata.llm.line_dedup import op7_line_dedup
+from strata.llm.simhash import op2_simhash
 from strata.llm.wavelet import op1_wavelet_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
+    "op2_simhash": op2_simhash,
     "op6_license_scan": op6_license_scan,
+    "op7_line_dedup": op7_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
