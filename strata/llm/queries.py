@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.bottom_k import op8_bottom_k
 from strata.llm.byte_bpe import op10_byte_bpe
 from strata.llm.license_scan import op6_license_scan
 from strata.llm.line_dedup import op7_line_dedup
+from strata.llm.mixing import op3_mixing
 from strata.llm.simhash import op2_simhash
 from strata.llm.wavelet import op1_wavelet_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
     "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
+    "op8_bottom_k": op8_bottom_k,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
