@@ -12,6 +12,7 @@ from strata.llm.license_scan import op6_license_scan
 from strata.llm.line_dedup import op7_line_dedup
 from strata.llm.mixing import op3_mixing
 from strata.llm.simhash import op2_simhash
+from strata.llm.toxicity import op9_toxicity
 from strata.llm.wavelet import op1_wavelet_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_bottom_k": op8_bottom_k,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
