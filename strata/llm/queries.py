@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.bottom_k import op8_bottom_k
 from strata.llm.byte_bpe import op10_byte_bpe
+from strata.llm.graph_ann import op4_graph_ann
 from strata.llm.html_extract import op5_html_extract
 from strata.llm.license_scan import op6_license_scan
 from strata.llm.line_dedup import op7_line_dedup
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op4_graph_ann": op4_graph_ann,
     "op5_html_extract": op5_html_extract,
     "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
