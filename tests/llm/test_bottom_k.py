@@ -1,0 +1,85 @@
+import hashlib
+import re
+
+from frames import EDGE, clashing, docs
+from pyspark.sql import functions as F
+
+from strata.llm import bottom_k as B
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def alike(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def check(rows, texts):
+    """texts: (doc_id, text) in order."""
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r)
+    errors = []
+    for i, (d, text) in enumerate(texts):
+        after = texts[(i + 1) % len(texts)][1]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        r = next(x for x in by[d] if x.edited_sha256 == digest)
+        assert r.n_chars == len(text)
+        a, b, n = map(shingles, (text, edited, after))
+        errors += [abs(r.near_edited - alike(a, b)), abs(r.near_next - alike(a, n))]
+        if len(a) < B.K:
+            assert r.distinct_shingles == len(a)
+        else:
+            assert abs(r.distinct_shingles / len(a) - 1) < 0.5
+        if not a | b:
+            assert r.near_edited == 1.0
+    assert max(errors) < 0.25 and sum(errors) / len(errors) < 0.03
+
+
+def test_given_documents_in_several_chunks(spark, small_sf):
+    df = spark.read.parquet(f"{small_sf}/documents.parquet")
+    texts = sorted((r.doc_id, r.text or "") for r in df.collect())
+    for chunk_rows in (17, 1500):
+        rows = B.edited_likeness(df.repartition(6), chunk_rows).collect()
+        assert len(rows) == len(texts)
+        check(rows, texts)
+
+
+def test_edge_rows(spark):
+    df = clashing(docs(spark, EDGE))
+    rows = B.edited_likeness(df, 3).collect()
+    order = sorted(((d, t or "") for d, t, _, _ in EDGE), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    check(rows, order)
+    prints = {r.doc_id: r.fingerprint for r in rows}
+    assert prints[3] == prints[7] == prints[5] == "" and prints[2] == prints[4] != ""
+    assert B.edited_likeness(df.limit(0)).count() == 0
+    alone = B.edited_likeness(df.where("doc_id = 9")).first()     # its own next document
+    assert alone.near_next == 1.0
+
+
+def test_sketches_merge(spark, small_sf):
+    df = spark.read.parquet(f"{small_sf}/documents.parquet").select("source", "text")
+    parts = B.with_sketch(df, F.col("text"), "sketch")
+    merged = {r.source: r.sketch for r in B.merge_sketches(parts, ["source"]).collect()}
+    whole = {}
+    for r in parts.collect():
+        whole[r.source] = sorted(set(whole.get(r.source, [])) | set(r.sketch))[:B.K]
+    assert merged == whole
+    exact = {}
+    for r in df.collect():
+        exact.setdefault(r.source, set()).update(shingles(r.text))
+    sizes = B.merge_sketches(parts, ["source"]).select("source", B.distinct_shingles("sketch").alias("n"))
+    assert all(abs(r.n / len(exact[r.source]) - 1) < 0.45 for r in sizes.collect())
+
+
+def test_containment(spark):
+    part = " ".join(f"w{i}" for i in range(400))
+    rows = spark.createDataFrame([(part, part + " " + " ".join(f"v{i}" for i in range(1200))), ("", part)],
+                                 "a string, b string")
+    both = B.with_sketch(B.with_sketch(rows, F.col("a"), "x"), F.col("b"), "y")
+    inside, empty = [r.c for r in both.select(B.containment("x", "y").alias("c")).collect()]
+    assert inside > 0.7 and empty == 1.0

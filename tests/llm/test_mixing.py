@@ -1,0 +1,104 @@
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from frames import EDGE, clashing, docs
+from pyspark.sql import functions as F
+
+from strata.llm import mixing as M
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def brute_targets(sizes):
+    """Targets by resharing the excess until none is above its stop."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in fixed]
+        left, w = total - sum(fixed.values()), sum(weight[s] for s in free)
+        above = [s for s in free if left * weight[s] / w > 3 * sizes[s]]
+        if not above:
+            return {**fixed, **{s: left * weight[s] / w for s in free}}
+        fixed |= {s: 3.0 * sizes[s] for s in above}
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 10_000, "b": 5, "c": 7, None: 1},
+    {"a": 1, "b": 2, "c": 300, "d": 40, "e": 0, "é": 9}, {"z": 12}, {"a": 0, "b": 0}])
+def test_targets_against_resharing(spark, sizes):
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r.source: r.target for r in M.source_targets(rows).collect()}
+    want = brute_targets(sizes) if sum(sizes.values()) else dict.fromkeys(sizes, 0.0)
+    assert got == pytest.approx(want)
+
+
+def test_permutation_is_exact(spark):
+    n = spark.createDataFrame([(k, i) for k in (1, 2, 3, 17, 64, 1000) for i in range(k)],
+                              "n long, i long")
+    out = n.select("n", "i", M.permuted(F.col("i"), F.col("n"), F.lit(7), F.col("n")).alias("p"))
+    by = defaultdict(list)
+    for r in out.collect():
+        by[r.n].append((r.i, r.p))
+    for k, pairs in by.items():
+        assert sorted(p for _, p in pairs) == list(range(k))
+    assert sum(i == p for i, p in by[1000]) < 30
+
+
+def test_given_documents(spark, small_sf):
+    df = spark.read.parquet(f"{small_sf}/documents.parquet")
+    rows = M.op3_mixing(spark, small_sf).collect()
+    given = {r.doc_id: r for r in df.collect()}
+    assert len(rows) == len(given)
+    sizes = Counter()
+    for r in rows:
+        assert r.size == len(words(given[r.doc_id].text)) and 0 <= r.taken <= 3 * r.size
+        sizes[r.source] += r.size
+    target = brute_targets(sizes)
+    taken = Counter()
+    for r in rows:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
+        taken[r.source] += r.taken
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= 0.05 * target[s] + 3 * M.BLOCK_WORDS
+    again = M.Mix(spark, df.repartition(5), texts=False).taken().collect()
+    assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in rows)
+
+
+def test_documents_and_blocks_hold_what_is_taken(spark, small_sf):
+    df = spark.read.parquet(f"{small_sf}/documents.parquet")
+    mix = M.Mix(spark, df, shard_slots=64)
+    taken = {r.doc_id: r.taken for r in mix.taken().collect()}
+    given = {r.doc_id: r for r in df.collect()}
+    out = mix.documents()
+    assert out.columns == df.columns
+    got = Counter()
+    for r in out.collect():
+        got[r.doc_id] += len(words(r.text))
+        whole = given[r.doc_id]
+        assert (r.source, r.lang) == (whole.source, whole.lang) and r.n_chars == len(r.text)
+        if len(words(r.text)) == len(words(whole.text)):
+            assert r.text == whole.text
+    assert got == +Counter(taken)
+    blocks = mix.blocks().groupBy("shard", "slot").agg(
+        F.sum("words").alias("words"), F.countDistinct("source").alias("sources")).collect()
+    assert all(b.words <= M.BLOCK_WORDS and b.sources == 1 for b in blocks)
+    assert mix.slots.groupBy("sid", "turn", "block").count().where("count > 1").count() == 0
+
+
+def test_edge_rows(spark):
+    df = clashing(docs(spark, EDGE))
+    mix = M.Mix(spark, df)
+    rows = mix.taken().collect()
+    assert len(rows) == len(EDGE)
+    target = brute_targets({s: sum(len(words(t)) for _, t, _, x in EDGE if x == s)
+                            for s in {x for *_, x in EDGE}})
+    assert all(r.target == pytest.approx(target[r.source]) for r in rows)
+    assert all(r.taken <= 3 * r.size for r in rows)
+    assert all(r.size == 0 and r.taken == 0 for r in rows if r.doc_id in (3, 5, 7))
+    assert mix.documents().columns == df.columns and mix.documents().count() > 0
+    none = M.Mix(spark, df.limit(0))
+    assert none.taken().count() == 0 and none.documents().count() == 0

@@ -1,0 +1,37 @@
+import re
+import subprocess
+import sys
+
+import __spark_entry__ as E
+
+ROOT = E.__file__.rsplit("/", 1)[0]
+
+
+def test_each_operator_and_the_pipeline_is_registered():
+    names = list(E.queries())
+    numbers = sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n)))
+    assert numbers == list(range(1, 11)) and "pipeline" in names
+
+
+def test_the_rest_works_without_the_subpackage():
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name == "strata.llm" or name.startswith("strata.llm."):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+names = list(e.queries())
+assert names and not [n for n in names if n.startswith("op") or n == "pipeline"], names
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd="/")
+
+
+def test_nothing_else_imports_the_subpackage():
+    import pathlib
+
+    for path in pathlib.Path(ROOT, "strata").rglob("*.py"):
+        if "llm" not in path.parts:
+            assert "strata.llm" not in path.read_text()
