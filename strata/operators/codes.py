@@ -1,4 +1,9 @@
-"""Resolve a delimited code list (``"37,18"``) to readable names."""
+"""Resolve a delimited code list (``"37,18"``) to readable names.
+
+Both forms resolve each *distinct* code text once and bring the names back by
+an equi-join on the text, whatever the length of a list and the size of the
+dictionary. Rows are never multiplied by their number of codes.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +14,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, fits, sized_broadcast
+from strata.operators.joins import BROADCAST_ROWS, sized_broadcast
 
-# Code lists longer than this are resolved with the grouped form.
-MAX_POSITIONS = 16
+
+def resolved_texts(
+    texts: DataFrame,
+    dictionary: DataFrame,
+    codes_col: str = C.CODES,
+    code_col: str = C.CODE_ID,
+    name_col: str = C.CODE_NAME,
+    code_separator: str = C.CODE_SEPARATOR,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``codes_col, _parts`` per distinct non-null code text: its names as
+    ``(pos, name)`` in order. A text without any known code has no row.
+
+    The dictionary is broadcast behind its size check (which runs jobs on the
+    dictionary), else joined by shuffle. One text's codes meet in one group,
+    bounded by the text itself.
+    """
+    parts = F.split(F.col(codes_col), re.escape(code_separator))
+    codes = (texts.select(codes_col).where(F.col(codes_col).isNotNull()).distinct()
+             .select(codes_col, F.posexplode(parts).alias("_pos", "_code"))
+             .select(codes_col, "_pos", F.trim("_code").alias(code_col)))
+    names = sized_broadcast(dictionary.select(code_col, name_col), broadcast_rows)
+    found = codes.join(names, on=code_col).where(F.col(name_col).isNotNull())
+    return found.groupBy(codes_col).agg(F.sort_array(F.collect_list(
+        F.struct(F.col("_pos").alias("pos"), F.col(name_col).alias("name")))).alias("_parts"))
 
 
 def resolve_codes(
@@ -46,31 +74,25 @@ def resolve_codes(
     1. identical rows (key columns and code list) are counted with a map-side
        combine, so a group of copies holding a third of all rows leaves each
        task as one row;
-    2. each distinct row's code list is exploded in place and joined to the
-       dictionary, broadcast when its size check passes (else a shuffle
-       join, where AQE splits skewed codes);
-    3. the regroup on ``key_cols`` (partial aggregate, then one exchange)
-       gathers ``(position, name, copies)`` entries: their number is bounded
-       by the distinct code lists of a key, not by its rows;
-    4. names are repeated ``copies`` times only in the final projection.
+    2. the distinct code texts are resolved once (:func:`resolved_texts`);
+    3. their names join back on the text: broadcast when few, else a shuffle
+       join that Spark can split at a hot text;
+    4. the regroup on ``key_cols`` gathers one entry per distinct code list of
+       a key; names are repeated ``copies`` times only in the last projection.
     """
-    parts = F.split(F.col(codes_col), re.escape(code_separator))
     distinct = (rows.filter(F.col(codes_col).isNotNull())
                 .groupBy(*key_cols, codes_col).agg(F.count(F.lit(1)).alias("_copies")))
-    exploded = distinct.select(
-        *key_cols, "_copies", F.posexplode(parts).alias("_pos", "_code")
-    ).select(*key_cols, "_copies", "_pos", F.trim(F.col("_code")).alias(code_col))
-
-    names = sized_broadcast(dictionary.select(code_col, name_col), broadcast_rows)
-    joined = exploded.join(names, on=code_col, how="left")
-
-    part = F.when(F.col(name_col).isNotNull(),
-                  F.struct(F.col("_pos").alias("pos"), F.col(name_col).alias("name"),
-                           F.col("_copies").alias("copies")))
-    grouped = joined.groupBy(*key_cols).agg(
-        F.sort_array(F.collect_list(part)).alias("_parts"))
+    names = resolved_texts(rows, dictionary, codes_col, code_col, name_col, code_separator,
+                           broadcast_rows)
+    joined = distinct.join(sized_broadcast(names, broadcast_rows), on=codes_col, how="left")
+    entry = F.struct(F.col("_parts").alias("parts"), F.col("_copies").alias("copies"))
+    grouped = joined.groupBy(*key_cols).agg(F.collect_list(entry).alias("_entries"))
+    parts = F.flatten(F.transform("_entries", lambda e: F.transform(
+        F.coalesce(e["parts"], F.array().cast("array<struct<pos:int,name:string>>")),
+        lambda p: F.struct(p["pos"].alias("pos"), p["name"].alias("name"),
+                           e["copies"].alias("copies")))))
     repeated = F.flatten(F.transform(
-        "_parts", lambda p: F.array_repeat(p["name"], p["copies"].cast("int"))))
+        F.sort_array(parts), lambda p: F.array_repeat(p["name"], p["copies"].cast("int"))))
     return grouped.select(*key_cols, F.concat_ws(separator, repeated).alias(out_col))
 
 
@@ -85,34 +107,18 @@ def resolve_codes_by_position(
     separator: str = C.NAME_SEPARATOR,
     code_separator: str = C.CODE_SEPARATOR,
     broadcast_rows: int = BROADCAST_ROWS,
-    max_positions: int = MAX_POSITIONS,
 ) -> DataFrame:
-    """Shuffle-free form of :func:`resolve_codes` for rows that are unique on
-    ``keep_cols`` (then both give the same result; rows that are not unique
-    are not merged here).
-
-    The dictionary is aggregated per code (a duplicate code still yields all
-    its names, sorted) and broadcast; each position of the code list is
-    looked up with its own broadcast hash join, all in one stage, so the
-    film rows are never shuffled. One small aggregate finds the longest code
-    list first; beyond ``max_positions``, or when the dictionary is larger
-    than ``broadcast_rows``, the grouped form is used.
+    """:func:`resolve_codes` row by row: every row with a non-null code list
+    gives one row, equal rows stay apart. On rows that are unique on
+    ``keep_cols`` both forms agree.
+
+    The rows themselves are not regrouped: only the distinct code texts are
+    shuffled, and their names join back on the text (broadcast when few, else
+    a shuffle join). The same at every list length and dictionary size.
     """
-    parts = F.split(F.col(codes_col), re.escape(code_separator))
-    longest = rows.agg(F.max(F.size(parts)).alias("m")).first()["m"] or 0
-    names = dictionary.groupBy(code_col).agg(F.sort_array(F.collect_list(name_col)).alias("_names"))
-    if longest > max_positions or not fits(names, broadcast_rows, BROADCAST_BYTES):
-        return resolve_codes(rows, dictionary, codes_col, keep_cols, code_col, name_col,
-                             out_col, separator, code_separator, broadcast_rows)
-
-    out = rows.filter(F.col(codes_col).isNotNull()).select(
-        *keep_cols, parts.alias("_codes"))
-    found = []
-    for i in range(longest):
-        key, value = f"_c{i}", f"_n{i}"
-        lookup = F.broadcast(names.select(F.col(code_col).alias(key), F.col("_names").alias(value)))
-        out = out.withColumn(key, F.trim(F.try_element_at("_codes", F.lit(i + 1))))
-        out = out.join(lookup, on=key, how="left")
-        found.append(F.coalesce(F.col(value), F.array().cast("array<string>")))
-    joined = F.flatten(F.array(*found)) if found else F.array().cast("array<string>")
-    return out.select(*keep_cols, F.concat_ws(separator, joined).alias(out_col))
+    names = resolved_texts(rows, dictionary, codes_col, code_col, name_col, code_separator,
+                           broadcast_rows)
+    joined = rows.filter(F.col(codes_col).isNotNull()).select(*keep_cols, codes_col).join(
+        sized_broadcast(names, broadcast_rows), on=codes_col, how="left")
+    text = F.concat_ws(separator, F.transform("_parts", lambda p: p["name"]))
+    return joined.select(*keep_cols, text.alias(out_col))

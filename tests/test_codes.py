@@ -68,12 +68,14 @@ def test_shuffle_join_path_equals_broadcast_path(spark):
         names(resolve_codes(films, dictionary(spark)))
 
 
-def test_dictionary_is_broadcast_and_both_exchanges_follow_a_partial_aggregate(spark):
+def test_rows_are_not_multiplied_by_their_codes(spark):
     films = raw_rows(spark, [{"pelicula_id": "a"}])
-    plan = resolve_codes(films, dictionary(spark))._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "partial_count" in plan and "partial_collect_list" in plan
+    plan = resolve_codes(films, dictionary(spark))._jdf.queryExecution().optimizedPlan().toString()
+    # only the distinct code texts are exploded
+    exploded = plan[plan.index("Generate"):].splitlines()
+    assert plan.count("Generate") == 1 and "Aggregate [genero_ids" in exploded[1]
+    text = resolve_codes(films, dictionary(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "partial_count" in text and "partial_collect_list" in text
 
 
 def test_many_copies_of_one_row(spark):
@@ -97,11 +99,17 @@ def test_by_position_equals_grouped_form_on_unique_rows(spark):
     assert names(fast) == names(resolve_codes(films, d))
     assert fast.columns == resolve_codes(films, d).columns
     plan = fast._jdf.queryExecution().executedPlan().toString()
-    # the only exchange aggregates the dictionary; film rows are not shuffled
-    assert plan.count("Exchange hashpartitioning(genero_id") == plan.count("Exchange hashpartitioning")
+    assert "Exchange hashpartitioning(pelicula_id" not in plan     # film rows are not shuffled
 
 
-def test_by_position_falls_back_for_long_lists(spark):
+def test_equal_rows_behave_the_same_at_any_list_length_and_dictionary_size(spark):
     from strata.operators import resolve_codes_by_position
-    films = raw_rows(spark, [{"pelicula_id": "a", "genero_ids": ",".join(["18"] * 20)}])
-    assert names(resolve_codes_by_position(films, dictionary(spark))) == [("a", ", ".join(["Drama"] * 20))]
+    for codes in (2, 16, 17, 40):
+        films = raw_rows(spark, [{"pelicula_id": "t", "genero_ids": "18,35"}] * 2
+                         + [{"pelicula_id": "u", "genero_ids": ",".join(["18"] * codes)}])
+        for entries in (2, 3, 4):
+            d = dictionary(spark, (("18", "Drama"), ("35", "Comedia"), ("1", "x"), ("2", "y"))[:entries])
+            by_row = names(resolve_codes_by_position(films, d, broadcast_rows=3))
+            assert by_row == [("t", "Drama, Comedia")] * 2 + [("u", ", ".join(["Drama"] * codes))]
+            assert names(resolve_codes(films, d, broadcast_rows=3)) == [
+                ("t", "Drama, Drama, Comedia, Comedia"), ("u", ", ".join(["Drama"] * codes))]
