@@ -1,26 +1,24 @@
 """Global competition rank (ties share a rank, gaps follow) and top-n.
 
 ``rank() OVER (ORDER BY v DESC)`` without a partition key runs in a single
-task. ``method="distributed"`` computes the same numbers without that limit:
+task. :func:`global_rank` computes the same numbers without that limit:
 
     rank(v) = 1 + number of rows whose value sorts before v
 
 1. count rows per distinct value (a map-side combine, so a value shared by a
-   third of all rows becomes one row); the result is checkpointed to the
-   shared checkpoint folder and read twice below;
-2. one aggregate returns the number of distinct values and quantile edges of
-   the distinct values (a bounded list of literals);
-3. the edges cut the distinct values into ordered buckets of similar size
-   (a comparison tree for few edges, ML's Bucketizer for many);
-   inside each bucket a running sum of counts gives the rows before a value,
-   and the bucket totals give an offset (a table of at most ``buckets + 2``
-   rows, broadcast);
-4. the ranked distinct values are joined back to the rows on the value
-   (null-safe): broadcast when the distinct count is within the bound,
-   otherwise a shuffle join in which hot values (known from step 1) are
-   salted over several partitions.
-
-Order follows Spark's ``desc``: NaN first, nulls last; NaN equals NaN.
+   third of all rows becomes one row), range-partition the counts by value,
+   descending, and checkpoint them with their partition number to the shared
+   checkpoint folder;
+2. a running sum inside each range gives the rows before a value there, and
+   the range totals (one row per range) the rows in earlier ranges;
+3. the ranked values go back to the rows on the value (null-safe): values
+   with more than half an even partition share by broadcast of their ranks
+   (at most twice as many as there are partitions), the others by a shuffle
+   join that no hot value takes part in. When all distinct values are within
+   the broadcast bound they all go by broadcast.
+
+Any orderable type ranks. Order follows Spark's ``desc``: NaN first, nulls
+last; NaN equals NaN. Ranks are ``bigint``.
 """
 
 from __future__ import annotations
@@ -29,192 +27,67 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DateType,
-    DoubleType,
-    FloatType,
-    NumericType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 from strata import catalogue as C
-from strata.operators.joins import fits
 from strata.session import checkpoint_dir
 
-WINDOW = "window"
-DISTRIBUTED = "distributed"
-AUTO = "auto"
-
-SINGLE_TASK_ROWS = 2_000_000   # `auto` ranks in one task up to this many rows
-VALUE_BROADCAST_ROWS = 1_000_000
-MAX_BUCKETS = 65_536
-MAX_SALTS = 256                # join-back partitions one hot value may spread over
-TREE_EDGES = 256               # up to here buckets are a tree of comparisons
-TREE_MAX_EDGES = 1_024         # non-numeric columns: the tree is the only form
+VALUE_BROADCAST_ROWS = 1_000_000   # ranked values (one value and one rank each)
 
 
 def rank_window(df: DataFrame, order_col: str, out_col: str = C.RANK) -> DataFrame:
-    """The plain form: one window over the whole table, in one task. Use it
-    through :func:`global_rank`, which only allows it on inputs of proven size."""
-    return df.withColumn(out_col, F.rank().over(Window.orderBy(F.col(order_col).desc())))
-
-
-def _bucket_of(value: Column, edges: Sequence) -> Column:
-    """Number of edges <= value, as a balanced tree of comparisons
-    (depth log2 of the number of edges, codegen-friendly)."""
+    """The plain form: one window over the whole table, in one task. It is the
+    yardstick of the tests and of ``tools/rank_crossover.py``, not a plan for
+    tables that grow."""
+    return df.withColumn(out_col, F.rank().over(Window.orderBy(F.col(order_col).desc()))
+                         .cast("long"))
 
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(edges[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    return build(0, len(edges))
-
-
-def _default_buckets(df: DataFrame) -> int:
+def _default_ranges(df: DataFrame) -> int:
     setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    partitions = int(setting) if str(setting).isdigit() else 200
-    return max(2, min(MAX_BUCKETS, partitions))
+    return max(2, int(setting) if str(setting).isdigit() else 200)
 
 
-def _with_bucket(counts: DataFrame, order_col: str, edges: list, is_float: bool,
-                 numeric: bool) -> DataFrame:
-    """Add ``_b``: -1 for null, the number of edges <= value otherwise, one
-    more than the last bucket for NaN. Few edges: a comparison tree inside
-    codegen. Many edges on a numeric column: ML's ``Bucketizer`` (a binary
-    search in the JVM; cast to double keeps the order)."""
-    value = F.col(order_col)
-    if len(edges) <= TREE_EDGES or not numeric:
-        bucket = _bucket_of(value, edges)
-        if is_float:
-            bucket = F.when(F.isnan(value), F.lit(len(edges) + 1)).otherwise(bucket)
-        return counts.withColumn("_b", F.when(value.isNull(), F.lit(-1)).otherwise(bucket))
-    from pyspark.ml.feature import Bucketizer
-
-    splits = sorted({float(e) for e in edges})
-    bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_vd",
-                            outputCol="_bd", handleInvalid="keep")
-    staged = bucketizer.transform(counts.withColumn("_vd", value.cast("double")))
-    return staged.withColumn(
-        "_b", F.when(value.isNull(), F.lit(-1)).otherwise(F.col("_bd").cast("int"))
-    ).drop("_vd", "_bd")
-
-
-def rank_distributed(
+def global_rank(
     df: DataFrame,
-    order_col: str,
+    order_col: str = C.POPULARITY,
     out_col: str = C.RANK,
-    buckets: int | None = None,
+    ranges: int | None = None,
     broadcast_rows: int = VALUE_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Same result as :func:`rank_window`, without a single-task step.
+    """``df`` with the competition rank of ``order_col`` descending.
 
-    ``order_col`` must be numeric, date or timestamp (it needs quantiles).
+    Runs jobs (the checkpoint of the counts and their totals) and reads ``df``
+    again for the join back, twice when there are more distinct values than
+    ``broadcast_rows``: give it a stored table where computing it is dear.
+    ``ranges`` (default: the shuffle partitions) only shapes the work.
     """
     checkpoint_dir(df.sparkSession)
     value = F.col(order_col)
-    dtype = df.schema[order_col].dataType
-    if not isinstance(dtype, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        raise TypeError(f"distributed rank needs a numeric, date or timestamp column; "
-                        f"{order_col!r} is {dtype.simpleString()}")
-    is_float = isinstance(dtype, (DoubleType, FloatType))
-    numeric = isinstance(dtype, NumericType)
-
+    k = max(2, ranges or _default_ranges(df))
     counts = (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
-              .checkpoint(eager=True))
-
-    k = max(2, buckets or _default_buckets(df))
-    if not numeric:
-        k = min(k, TREE_MAX_EDGES + 1)
-    plain = F.when(~F.isnan(value), value) if is_float else value
-    stats = counts.agg(
-        F.count(F.lit(1)).alias("distinct_values"),
-        F.sum("_n").alias("rows"),
-        F.percentile_approx(plain, [i / k for i in range(1, k)], max(10_000, 20 * k))
-        .alias("edges"),
-    ).first()
-    edges = sorted({e for e in (stats["edges"] or []) if e is not None})
-    bucketed = _with_bucket(counts, order_col, edges, is_float, numeric)
-
-    before = Window.partitionBy("_b").orderBy(value.desc()) \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    within = bucketed.withColumn("_w", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-
-    higher = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (bucketed.groupBy("_b").agg(F.sum("_n").alias("_t"))
-               .select("_b", F.coalesce(F.sum("_t").over(higher), F.lit(0)).alias("_off")))
-
-    ranked = within.join(F.broadcast(offsets), "_b").select(
-        value.alias("_v"),
-        (F.col("_off") + F.col("_w") + 1).cast("int").alias(out_col),
-        "_n",
-    )
-    if stats["distinct_values"] <= broadcast_rows:
-        ranked = F.broadcast(ranked.drop("_n"))
-        return df.join(ranked, df[order_col].eqNullSafe(ranked["_v"]), "inner").drop("_v")
-    return _salted_join_back(df, order_col, ranked, stats["rows"] or 0, k)
-
-
-def _salted_join_back(df: DataFrame, order_col: str, ranked: DataFrame, rows: int,
-                      k: int) -> DataFrame:
-    """Shuffle join of the rows with their ranked values, with hot values split.
-
-    A value holding more than half of an even partition share (``rows / 2k``)
-    gets ``s = ceil(k * count / rows)`` salts (at most ``MAX_SALTS``): its
-    rows pick a salt at random and its ranked entry is repeated once per
-    salt, so its rows spread over ``s`` join partitions in pieces of about
-    one even partition share. Every salt carries the same rank, so the
-    result does not depend on which salt a row picks. At most ``2k`` values
-    are hot and the repeated entries number at most about ``3k``; the hot
-    list is broadcast.
-    """
-    hot_limit = max(1, rows // (2 * k))
-    salts = F.least(F.lit(MAX_SALTS),
-                    F.ceil(F.col("_n") * F.lit(k) / F.lit(max(rows, 1)))).cast("int")
-    hot = F.broadcast(ranked.filter(F.col("_n") > hot_limit)
-                      .select(F.col("_v").alias("_hv"), salts.alias("_hs")))
-    tagged = df.join(hot, df[order_col].eqNullSafe(hot["_hv"]), "left").withColumn(
-        "_s", F.when(F.col("_hs").isNotNull(),
-                     F.floor(F.rand(17) * F.col("_hs")).cast("int")).otherwise(F.lit(0))
-    ).drop("_hv", "_hs")
-    spread = ranked.withColumn("_rs", F.explode(F.when(
-        F.col("_n") > hot_limit, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
-    joined = tagged.join(
-        spread, tagged[order_col].eqNullSafe(spread["_v"]) & (tagged["_s"] == spread["_rs"]),
-        "inner")
-    return joined.drop("_v", "_n", "_s", "_rs")
-
+              .repartitionByRange(k, value.desc())
+              .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
+    stats = counts.agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("_n").alias("rows")).first()
+
+    before = (Window.partitionBy("_p").orderBy(value.desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.groupBy("_p").agg(F.sum("_n").alias("_t"))         # one row per range
+               .select("_p", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off")))
+    ranked = (counts.withColumn("_w", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .join(F.broadcast(offsets), "_p")
+              .select(value.alias("_v"), (F.col("_off") + F.col("_w") + 1).alias(out_col), "_n"))
+
+    def back(rows: DataFrame, ranks: DataFrame, how: str = "inner") -> DataFrame:
+        return rows.join(ranks, rows[order_col].eqNullSafe(ranks["_v"]), how)
 
-def global_rank(
-    df: DataFrame,
-    order_col: str = C.POPULARITY,
-    out_col: str = C.RANK,
-    method: str = AUTO,
-    row_count: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    **options,
-) -> DataFrame:
-    """Competition rank of ``order_col`` descending, as an int column.
-
-    The single-task window only runs on an input of proven size:
-
-    * ``method="auto"``: the window when the caller passes a ``row_count``
-      within ``single_task_rows`` (e.g. the count observed when the input
-      table was written), otherwise the distributed form, with no extra pass;
-    * ``method="window"``: the window when ``row_count`` or a count (partial
-      counts per task) shows the input fits, otherwise the distributed form;
-    * ``method="distributed"``: always the distributed form.
-    """
-    if method not in (AUTO, WINDOW, DISTRIBUTED):
-        raise ValueError(f"unknown rank method {method!r}")
-    known_small = row_count is not None and row_count <= single_task_rows
-    if method == WINDOW and row_count is None:
-        known_small = fits(df, single_task_rows)
-    if method != DISTRIBUTED and known_small:
-        return rank_window(df, order_col, out_col)
-    return rank_distributed(df, order_col, out_col, **options)
+    if stats["distinct_values"] <= broadcast_rows:
+        return back(df, F.broadcast(ranked.drop("_n"))).drop("_v")
+    hot_limit = max(1, stats["rows"] // (2 * k))            # at most 2k values exceed it
+    hot = ranked.where(F.col("_n") > hot_limit).drop("_n")
+    cold = ranked.where(F.col("_n") <= hot_limit).drop("_n")
+    rest = back(df, F.broadcast(hot.select("_v")), "left_anti")
+    return back(df, F.broadcast(hot)).drop("_v").union(back(rest, cold).drop("_v"))
 
 
 def top_ranked(
@@ -234,7 +107,7 @@ def top_ranked(
     """
     value = F.col(order_col).desc()
     top = df.orderBy(value, *tie_order).limit(n)
-    return top.withColumn(out_col, F.rank().over(Window.orderBy(value)))
+    return top.withColumn(out_col, F.rank().over(Window.orderBy(value)).cast("long"))
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.operators import global_rank, rank_distributed, rank_window, top_n
+from strata.operators import global_rank, rank_window, top_n
 
 
 def frame(spark, values):
@@ -18,13 +18,13 @@ def test_ties_null_and_nan(spark):
     df = frame(spark, [1.0, 1.0, None, float("nan")])
     expected = [(0, 2), (1, 2), (2, 4), (3, 1)]
     assert ranks(rank_window(df, "v", "r")) == expected
-    assert ranks(rank_distributed(df, "v", "r", buckets=3)) == expected
+    assert ranks(global_rank(df, "v", "r", ranges=3)) == expected
 
 
-def test_result_is_int_and_columns_kept(spark):
-    out = rank_distributed(frame(spark, [3.0, 1.0]), "v", "r")
+def test_result_is_bigint_and_columns_kept(spark):
+    out = global_rank(frame(spark, [3.0, 1.0]), "v", "r")
     assert out.columns == ["id", "v", "r"]
-    assert dict(out.dtypes)["r"] == "int"
+    assert dict(out.dtypes)["r"] == "bigint"
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -34,45 +34,37 @@ def test_result_is_int_and_columns_kept(spark):
        st.integers(min_value=2, max_value=9))
 def test_distributed_equals_window(spark, values, buckets):
     df = frame(spark, values).repartition(3)
-    assert ranks(rank_distributed(df, "v", "r", buckets=buckets)) == ranks(rank_window(df, "v", "r"))
+    assert ranks(global_rank(df, "v", "r", ranges=buckets)) == ranks(rank_window(df, "v", "r"))
 
 
 def test_shuffle_join_back_equals_broadcast(spark):
     values = [float(i % 17) for i in range(500)] + [None] * 5
     df = frame(spark, values)
-    assert ranks(rank_distributed(df, "v", "r", broadcast_rows=0)) == ranks(rank_window(df, "v", "r"))
+    assert ranks(global_rank(df, "v", "r", broadcast_rows=0)) == ranks(rank_window(df, "v", "r"))
 
 
 def test_hot_value_is_one_row_after_the_map_side_count(spark):
     # a third of all rows share one value: ranks still equal the window form
     values = [5.0] * 300 + [float(i) for i in range(600)]
     df = frame(spark, values)
-    assert ranks(rank_distributed(df, "v", "r", buckets=4)) == ranks(rank_window(df, "v", "r"))
+    assert ranks(global_rank(df, "v", "r", ranges=4)) == ranks(rank_window(df, "v", "r"))
 
 
 def test_distributed_plan_has_no_single_partition_over_rows(spark):
     df = frame(spark, [float(i) for i in range(100)])
-    plan = rank_distributed(df, "v", "r")._jdf.queryExecution().executedPlan().toString()
+    plan = global_rank(df, "v", "r")._jdf.queryExecution().executedPlan().toString()
     window_plan = rank_window(df, "v", "r")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" in window_plan
-    # the only single-partition step is the offsets of the (bounded) bucket table
+    # the only single-partition step is the offsets, one row per range
     assert plan.count("SinglePartition") <= 1
     assert "BroadcastHashJoin" in plan
 
 
-def test_auto_uses_window_only_with_a_small_row_count(spark):
-    df = frame(spark, [2.0, 1.0])
-    small = global_rank(df, "v", "r", row_count=2)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" in small
-    unknown = global_rank(df, "v", "r")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in unknown
-
-
 def test_integer_and_date_columns(spark):
     df = spark.createDataFrame([(1, 5, "2020-01-01"), (2, 5, "2021-01-01"), (3, 9, None)],
                                "id int, n int, d string").withColumn("d", F.to_date("d"))
     for col in ("n", "d"):
-        a = ranks(rank_distributed(df, col, "r", buckets=2))
+        a = ranks(global_rank(df, col, "r", ranges=2))
         b = ranks(rank_window(df, col, "r"))
         assert a == b
 
@@ -96,31 +88,19 @@ def test_top_ranked_with_ties_nan_and_nulls(spark):
             sorted(tuple(r) for r in expected.select("id", "r").collect())
 
 
-def test_window_method_only_on_proven_size(spark):
-    df = frame(spark, [float(i % 7) for i in range(50)])
-    small = global_rank(df, "v", "r", method="window", single_task_rows=100)
-    big = global_rank(df, "v", "r", method="window", single_task_rows=10)
-    assert "SinglePartition" in small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in big._jdf.queryExecution().executedPlan().toString()
-    assert ranks(small) == ranks(big)
-
-
-def test_many_buckets_use_the_bucketizer_and_agree(spark):
-    values = [float((i * 7919) % 3001) for i in range(3000)] + [None, float("nan"), float("inf")] * 5
+def test_any_orderable_type_and_infinities_with_many_ranges(spark):
+    values = [float((i * 7919) % 1000) for i in range(1500)] + [
+        float("inf"), float("-inf"), float("nan"), None] * 3
     df = frame(spark, values).repartition(4)
-    out = rank_distributed(df, "v", "r", buckets=900)
-    assert "bucketizer" in out._jdf.queryExecution().executedPlan().toString()
-    assert ranks(out) == ranks(rank_window(df, "v", "r"))
-    ints = spark.createDataFrame([(i, (i * 31) % 997) for i in range(2500)], "id int, n bigint")
-    assert ranks(rank_distributed(ints, "n", "r", buckets=700).withColumnRenamed("n", "v")) == \
-        ranks(rank_window(ints, "n", "r"))
-
-
-def test_distributed_rank_rejects_text_columns(spark):
-    import pytest
-    df = spark.createDataFrame([("a",), ("b",)], "s string")
-    with pytest.raises(TypeError):
-        rank_distributed(df, "s", "r")
+    for ranges in (3, 200, 2000):
+        assert ranks(global_rank(df, "v", "r", ranges=ranges)) == ranks(rank_window(df, "v", "r"))
+    others = spark.createDataFrame([(i, f"w{i % 37}", (i * 31) % 997) for i in range(600)],
+                                   "id int, s string, n bigint").selectExpr(
+        "*", "timestamp_seconds(n % 50) as t", "cast(n as decimal(10, 2)) as d", "n % 2 = 0 as f")
+    for col in ("s", "n", "t", "d", "f"):
+        for rows in (0, 1_000_000):
+            got = global_rank(others, col, "r", ranges=7, broadcast_rows=rows)
+            assert ranks(got) == ranks(rank_window(others, col, "r"))
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -128,15 +108,15 @@ def test_distributed_rank_rejects_text_columns(spark):
                           st.floats(allow_nan=True, allow_infinity=True, width=64),
                           st.none()), min_size=1, max_size=80),
        st.integers(min_value=2, max_value=6))
-def test_salted_shuffle_join_back_equals_window(spark, values, buckets):
+def test_shuffle_join_back_equals_window(spark, values, buckets):
     df = frame(spark, values).repartition(4)
-    got = ranks(rank_distributed(df, "v", "r", buckets=buckets, broadcast_rows=0))
+    got = ranks(global_rank(df, "v", "r", ranges=buckets, broadcast_rows=0))
     assert got == ranks(rank_window(df, "v", "r"))
 
 
-def test_salted_join_back_with_a_third_on_one_value(spark):
+def test_join_back_with_a_third_on_one_value(spark):
     values = [42.0] * 3000 + [float(i % 500) for i in range(6000)] + [None] * 3000
     df = frame(spark, values).repartition(8)
-    out = rank_distributed(df, "v", "r", buckets=8, broadcast_rows=0)
+    out = global_rank(df, "v", "r", ranges=8, broadcast_rows=0)
     assert ranks(out) == ranks(rank_window(df, "v", "r"))
     assert out.columns == ["id", "v", "r"]

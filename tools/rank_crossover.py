@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from strata.operators.rank import rank_distributed, rank_window  # noqa: E402
+from strata.operators.rank import global_rank, rank_window  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 
@@ -32,7 +32,7 @@ def main() -> None:
             .repartition(64).checkpoint()
         rows = df.count()
         for name, build in (("window", lambda: rank_window(df, "l_extendedprice", "r")),
-                            ("distributed", lambda: rank_distributed(df, "l_extendedprice", "r"))):
+                            ("distributed", lambda: global_rank(df, "l_extendedprice", "r"))):
             best = float("inf")
             for _ in range(2):
                 start = time.perf_counter()

@@ -26,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from strata import catalogue as C  # noqa: E402
-from strata.operators import rank_distributed, resolve_codes, yearly_trend  # noqa: E402
+from strata.operators import global_rank, resolve_codes, yearly_trend  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 
@@ -119,8 +119,8 @@ def main() -> None:
                                   "genero_id string, genero_nombre string")
     rows = films.count()
     runs = {
-        "rank_distributed": lambda: rank_distributed(films, C.POPULARITY),
-        "rank_distributed_shuffle_join": lambda: rank_distributed(films, C.POPULARITY,
+        "rank_distributed": lambda: global_rank(films, C.POPULARITY),
+        "rank_distributed_shuffle_join": lambda: global_rank(films, C.POPULARITY,
                                                                   broadcast_rows=0),
         "resolve_codes": lambda: resolve_codes(films, codes),
         "yearly_trend": lambda: yearly_trend(films),
