@@ -16,23 +16,30 @@ TREND_MEANS = (
 
 
 def exact_mean(col: str, digits: int, value_digits: int) -> Column:
-    """Mean of ``col`` rounded half up (away from zero) to ``digits``.
-
-    The values carry at most ``value_digits`` decimals (the silver step rounds
-    them), so they are summed exactly as integer units in a decimal(38, 0)
-    and the rounding division is integer arithmetic. A double ``avg`` instead
-    depends on the order of summation, i.e. on partitioning: a mean that
-    sits exactly on a rounding tie (4.925) then comes out as 4.92 on one
-    layout and 4.93 on another.
+    """``round(avg(col), digits)``, without the summation order where it matters.
+
+    Where all values of a group carry at most ``value_digits`` decimals, they
+    are summed exactly as integer units in a decimal(38, 0), and the mean is
+    rounded half up (away from zero) by the exact remainder. A double ``avg``
+    instead depends on the order of summation, i.e. on partitioning: a mean
+    that sits exactly on a rounding tie (4.925) then comes out as 4.92 on one
+    layout and 4.93 on another. A group with any other value (NaN, infinite,
+    more decimals, too large for the decimal) gets the plain ``round(avg)``.
     """
     if digits > value_digits:
         raise ValueError("digits must not exceed value_digits")
-    unit = 10 ** value_digits
-    step = 10 ** (value_digits - digits)
-    units = f"CAST(round(`{col}` * {unit}) AS DECIMAL(38, 0))"
-    total, n = f"sum({units})", f"count(`{col}`)"
-    rounded = f"sign({total}) * ((2 * abs({total}) + {step} * {n}) div (2 * {step} * {n}))"
-    return F.expr(f"{rounded} / {10 ** digits}")
+    unit, step = 10 ** value_digits, 10 ** (value_digits - digits)
+    plain = f"round(avg(`{col}`), {digits})"
+    units = f"try_cast(round(`{col}` * {unit}) AS DECIMAL(38, 0))"
+    carried = f"(round(cast(`{col}` AS DOUBLE), {value_digits}) = `{col}` AND {units} IS NOT NULL)"
+    total, n = f"try_sum({units})", f"count(`{col}`)"
+    part = f"(CAST({step} AS DECIMAL(10, 0)) * CAST({n} AS DECIMAL(20, 0)))"
+    rest = f"(abs({total}) % {part})"
+    whole = f"((abs({total}) - {rest}) / {part} + CASE WHEN 2 * {rest} >= {part} THEN 1 ELSE 0 END)"
+    exact = f"CAST(sign({total}) AS DOUBLE) * CAST({whole} AS DOUBLE) / {10 ** digits}"
+    return F.expr(f"CASE WHEN {n} = 0 THEN NULL "
+                  f"WHEN count_if({carried}) = {n} AND {total} IS NOT NULL THEN {exact} "
+                  f"ELSE {plain} END")
 
 
 def yearly_trend(
@@ -43,8 +50,9 @@ def yearly_trend(
     count_alias: str = C.FILM_COUNT,
 ) -> DataFrame:
     """One row per ``group_col`` value: non-null count of ``count_col`` and,
-    for each ``(column, alias, digits, value_digits)``, the rounded mean
-    (``value_digits=None``: plain ``round(avg(column), digits)``).
+    for each ``(column, alias, digits, value_digits)``, the mean rounded to
+    ``digits`` (see :func:`exact_mean`; ``value_digits=None``: always the plain
+    ``round(avg(column), digits)``).
 
     Planned as partial + final hash aggregation: each task pre-aggregates, so a
     group holding a third of all rows still moves one row per task.
