@@ -3,7 +3,7 @@
     python -m strata films --pages PATH [--bad-pages fail|quarantine]
     python -m strata dictionary --pages PATH
     python -m strata silver
-    python -m strata gold [--rank-method auto|window|distributed]
+    python -m strata gold
     python -m strata all --pages PATH --dictionary-pages PATH
 
 Pages are JSON Lines files (one page per line), or one page per file with
@@ -32,9 +32,8 @@ def main(argv: list[str] | None = None) -> dict:
     parser.add_argument("--location", default=None, help="database location, if it is created")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--bad-pages", default="fail", choices=["fail", "quarantine"])
-    parser.add_argument("--rank-method", default="auto", choices=["auto", "window", "distributed"])
     parser.add_argument("--unique-rows", action="store_true",
-                        help="film rows are unique: resolve codes without shuffling them")
+                        help="resolve codes row by row: film rows are not regrouped")
     parser.add_argument("--whole-files", action="store_true",
                         help="one page per file (saved responses) instead of JSON Lines")
     args = parser.parse_args(argv)
@@ -54,13 +53,12 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "silver":
         report = silver_job(spark, args.database, args.format, args.unique_rows)
     elif args.job == "gold":
-        report = gold_job(spark, args.database, args.format, args.rank_method)
+        report = gold_job(spark, args.database, args.format)
     else:
         report = run_layers(spark, landed(args.pages), landed(args.dictionary_pages), args.database,
-                            args.location, args.format, args.bad_pages, args.rank_method,
-                            args.unique_rows)
+                            args.location, args.format, args.bad_pages, args.unique_rows)
     summary = {"database": report.database, "rows": report.rows,
-               "quarantined_pages": report.quarantined_pages}
+               "quarantined": report.quarantined}
     print(json.dumps(summary))
     return summary
 

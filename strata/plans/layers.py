@@ -2,16 +2,17 @@
 
 Each layer is a plain function over DataFrames; :func:`run_layers` writes
 them in order, each layer reading the table the previous one wrote. Row
-counts are observed inside the writing jobs (no extra counting passes); the
-silver count also decides whether the gold ranking may run in one task.
+counts are observed inside the writing jobs (no extra counting passes). A job
+that fails leaves its old tables as they were (see ``sources.tables``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata import catalogue as C
 from strata.operators import (
@@ -23,13 +24,15 @@ from strata.operators import (
     top_ranked,
     yearly_trend,
 )
-from strata.operators.rank import AUTO, WINDOW
+from strata.schemas import RAW_FILMS
 from strata.sources import (
     ensure_database,
     ingest_dictionary,
     ingest_films,
+    new_version,
+    point_table,
     qualified,
-    split_bad_pages,
+    sort_films,
     write_table,
 )
 
@@ -37,28 +40,21 @@ from strata.sources import (
 def silver(raw_films: DataFrame, raw_codes: DataFrame, unique_rows: bool = False) -> DataFrame:
     """Clean the raw films, then resolve their code lists to names.
 
-    ``unique_rows=True`` promises that no two cleaned rows are equal on the
-    silver key columns; the resolution then needs no shuffle of film rows
-    (``resolve_codes_by_position``). The default keeps the grouped form,
-    which merges equal rows.
+    ``unique_rows=True`` resolves row by row (``resolve_codes_by_position``):
+    film rows are not regrouped, and rows equal on the silver key columns stay
+    apart. The default merges them.
     """
     resolve = resolve_codes_by_position if unique_rows else resolve_codes
     return resolve(clean(raw_films), raw_codes)
 
 
-def gold_ranking(
-    silver_df: DataFrame,
-    method: str = AUTO,
-    row_count: int | None = None,
-    **options,
-) -> DataFrame:
+def gold_ranking(silver_df: DataFrame, **options) -> DataFrame:
     """Popularity rank over the whole table and the dashboard columns.
 
     Unsorted: a table has no row order; readers sort (see :func:`preview`).
+    Runs jobs and reads ``silver_df`` more than once (see ``global_rank``).
     """
-    ranked = global_rank(silver_df, C.POPULARITY, C.RANK, method=method,
-                         row_count=row_count, **options)
-    return ranked.select(*C.RANKING_COLUMNS)
+    return global_rank(silver_df, C.POPULARITY, C.RANK, **options).select(*C.RANKING_COLUMNS)
 
 
 def gold_trend(silver_df: DataFrame) -> DataFrame:
@@ -105,7 +101,7 @@ def gold_top(silver_df: DataFrame, n: int = 10) -> DataFrame:
 class LayerReport:
     database: str
     rows: dict[str, int] = field(default_factory=dict)
-    quarantined_pages: int | None = None
+    quarantined: int | None = None      # pages and elements
 
     def table(self, name: str) -> str:
         return qualified(self.database, name)
@@ -123,26 +119,33 @@ def films_job(
     fmt: str = "parquet",
     bad_pages: str = "fail",
 ) -> LayerReport:
-    """Landed result pages -> raw film table.
-
-    ``bad_pages="fail"`` fails before any table is written when a page is
-    not valid JSON or a result has a null id: the ingest runs once as a dry
-    run into the ``noop`` sink first (an overwrite drops the old table before
-    writing, so failing inside the write would leave no table).
-    ``"quarantine"`` needs no dry run: it writes bad pages to
-    ``<raw table>_quarantine`` and ingests the rest in one pass.
+    """Landed result pages -> raw film table, in one parse.
+
+    ``bad_pages="fail"`` fails when a page is not valid JSON or an element has
+    a null id or an unreadable number; the old table stays. ``"quarantine"``
+    puts such pages and elements, with their reason and page, into
+    ``<raw table>_quarantine`` and loads the rest: one job writes both, as two
+    folders that the two tables then point at.
     """
+    report = LayerReport(database)
+    name = report.table(C.RAW_FILMS_TABLE)
     if bad_pages == "fail":
-        ingest_films(film_pages).write.format("noop").mode("overwrite").save()
-    elif bad_pages != "quarantine":
+        report.rows[C.RAW_FILMS_TABLE] = write_table(ingest_films(film_pages), name, fmt)
+        return report
+    if bad_pages != "quarantine":
         raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
-    lenient = bad_pages == "quarantine"
-    report = LayerReport(database)
-    if lenient:
-        report.quarantined_pages = write_table(
-            split_bad_pages(film_pages).bad, report.table(C.RAW_FILMS_TABLE + "_quarantine"), fmt)
-    report.rows[C.RAW_FILMS_TABLE] = write_table(
-        ingest_films(film_pages, lenient=lenient), report.table(C.RAW_FILMS_TABLE), fmt)
+    bad = F.col("reason").isNotNull()
+    rows = sort_films(film_pages).withColumn("bad", bad)
+    counted = Observation()
+    location = new_version(spark, name)
+    (rows.observe(counted, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+     .write.partitionBy("bad").parquet(location))
+    raw = StructType([f for f in RAW_FILMS])
+    left = StructType([StructField("reason", StringType()), StructField("body", StringType())])
+    point_table(spark, name, f"{location}/bad=false", raw, "parquet")
+    point_table(spark, f"{name}_quarantine", f"{location}/bad=true", left, "parquet")
+    report.rows[C.RAW_FILMS_TABLE] = int(counted.get["good"])
+    report.quarantined = int(counted.get["bad"])
     return report
 
 
@@ -178,19 +181,11 @@ def gold_job(
     spark: SparkSession,
     database: str = C.DATABASE,
     fmt: str = "parquet",
-    rank_method: str = AUTO,
-    silver_rows: int | None = None,
 ) -> LayerReport:
-    """Silver table -> ranking and trend tables. ``silver_rows`` (e.g. observed
-    by the silver job) lets ``rank_method="auto"`` rank small tables in one
-    task; without it, ``auto`` checks the stored table's size with a bounded
-    count (see :func:`strata.operators.global_rank`, ``method="window"``)."""
+    """Silver table -> ranking and trend tables."""
     report = LayerReport(database)
     stored = spark.table(report.table(C.SILVER_TABLE))
-    if rank_method == AUTO and silver_rows is None:
-        rank_method = WINDOW
-    ranking = gold_ranking(stored, method=rank_method, row_count=silver_rows)
-    report.rows[C.RANKING_TABLE] = write_table(ranking, report.table(C.RANKING_TABLE), fmt)
+    report.rows[C.RANKING_TABLE] = write_table(gold_ranking(stored), report.table(C.RANKING_TABLE), fmt)
     report.rows[C.TREND_TABLE] = write_table(gold_trend(stored), report.table(C.TREND_TABLE), fmt)
     return report
 
@@ -203,7 +198,6 @@ def run_layers(
     location: str | None = None,
     fmt: str = "parquet",
     bad_pages: str = "fail",
-    rank_method: str = AUTO,
     unique_rows: bool = False,
 ) -> LayerReport:
     """The four jobs in order: five tables, each overwritten, each layer
@@ -215,6 +209,5 @@ def run_layers(
     report = films_job(spark, film_pages, database, fmt, bad_pages)
     report.rows.update(dictionary_job(spark, dictionary_pages, database, fmt).rows)
     report.rows.update(silver_job(spark, database, fmt, unique_rows).rows)
-    report.rows.update(gold_job(spark, database, fmt, rank_method,
-                                silver_rows=report.rows[C.SILVER_TABLE]).rows)
+    report.rows.update(gold_job(spark, database, fmt).rows)
     return report

@@ -6,10 +6,13 @@ from strata.sources.pages import (
     ingest_dictionary,
     ingest_films,
     read_landed_pages,
+    sort_films,
     split_bad_pages,
 )
 from strata.sources.tables import (
     ensure_database,
+    new_version,
+    point_table,
     qualified,
     read_parquet_table,
     read_table,
@@ -22,10 +25,13 @@ __all__ = [
     "ensure_database",
     "ingest_dictionary",
     "ingest_films",
+    "new_version",
+    "point_table",
     "qualified",
     "read_landed_pages",
     "read_parquet_table",
     "read_table",
+    "sort_films",
     "split_bad_pages",
     "write_table",
 ]

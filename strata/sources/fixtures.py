@@ -94,11 +94,11 @@ def film_pages(orders: DataFrame, page_size: int = C.PAGE_SIZE) -> DataFrame:
         .alias("body"))
 
 
-def dictionary_pages(nation: DataFrame) -> DataFrame:
-    """Nations as landed dictionary pages, one page per region."""
+def dictionary_pages(nation: DataFrame, page_size: int = C.PAGE_SIZE) -> DataFrame:
+    """Nations as landed dictionary pages of at most ``page_size`` entries."""
     entry = F.struct(F.col("n_nationkey").alias(C.DICTIONARY_ID_FIELD),
                      F.col("n_name").alias(C.DICTIONARY_NAME_FIELD))
-    return nation.groupBy("n_regionkey").agg(
+    return nation.groupBy(F.expr(f"n_nationkey div {int(page_size)}")).agg(
         F.to_json(F.struct(F.collect_list(entry).alias(C.DICTIONARY_FIELD))).alias("body")
     ).select("body")
 

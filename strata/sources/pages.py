@@ -24,6 +24,7 @@ from strata.functions import (
     text_field,
     year_prefix,
 )
+from strata.schemas import RAW_CODES, RAW_FILMS, conforming
 
 
 class PageSplit(NamedTuple):
@@ -71,6 +72,17 @@ def _field(element: Column, field: str, kind: str, default) -> Column:
     raise ValueError(f"unknown field kind {kind!r}")
 
 
+def _projection(e: Column, fields, date_column: str, year_column: str) -> list[Column]:
+    """The typed raw columns of a result element."""
+    out = []
+    for field, column, kind, default in fields:
+        value = _field(e, field, kind, default)
+        out.append(value.alias(column))
+        if column == date_column:
+            out.append(year_prefix(value).alias(year_column))
+    return out
+
+
 def ingest_films(
     pages: DataFrame,
     body: str = "body",
@@ -88,19 +100,59 @@ def ingest_films(
     A result element whose id is JSON null fails the job: the id is the one
     mandatory column of the raw table. A page that is not valid JSON fails
     the job, or with ``lenient=True`` gives no rows (see ``split_bad_pages``
-    for the pages themselves).
+    for the pages themselves, ``sort_films`` for elements).
+    """
+    elements = _elements(pages, body, results_field, lenient)
+    out = elements.select(*_projection(F.col("_e"), fields, date_column, year_column))
+    out = out.withColumn(id_column, required(F.col(id_column), "result element with a null id"))
+    return conforming(out, RAW_FILMS) if fields is C.PAGE_FIELDS else out
+
+
+def sort_films(
+    pages: DataFrame,
+    body: str = "body",
+    fields=C.PAGE_FIELDS,
+    results_field: str = C.RESULTS_FIELD,
+    id_column: str = C.FILM_ID,
+    date_column: str = C.RELEASE_DATE,
+    year_column: str = C.RELEASE_YEAR,
+) -> DataFrame:
+    """Every page and result element exactly once, sorted into good and bad in
+    one parse: the raw columns, ``reason`` (null for a good element) and
+    ``body`` (the bad page, or the page of a bad element).
+
+    Bad are a page that is not valid JSON, an element whose id is JSON null,
+    and an element with a number that cannot be read. Their raw columns are
+    null. Valid JSON without the results list gives no row at all.
     """
+    doc = F.try_parse_json(F.col(body))
+    items = F.try_variant_get(doc, f"$.{results_field}", "array<variant>")
+    broken = F.col(body).isNotNull() & doc.isNull()
+    # a broken page becomes one row without an element
+    rows = pages.select(F.col(body).alias("body"), broken.alias("_broken"), F.explode(
+        F.when(broken, F.array(F.lit(None).cast("variant"))).otherwise(items)).alias("_e"))
     e = F.col("_e")
-    projected = {column: _field(e, field, kind, default)
-                 for field, column, kind, default in fields}
-    projected[id_column] = required(
-        projected[id_column], "result element with a null id")
-    out = []
-    for _, column, _, _ in fields:
-        out.append(projected[column].alias(column))
-        if column == date_column:
-            out.append(year_prefix(projected[date_column]).alias(year_column))
-    return _elements(pages, body, results_field, lenient).select(*out)
+    id_field = next(f for f, column, _, _ in fields if column == id_column)
+    no_id = F.variant_get(e, f"$.{id_field}", "variant").isNotNull() & F.try_variant_get(
+        e, f"$.{id_field}", "string").isNull()
+    unread = F.lit(False)
+    for field, _, kind, _ in fields:
+        if kind in ("double", "int"):
+            given = F.variant_get(e, f"$.{field}", "variant")
+            unread = unread | F.coalesce(given.isNotNull() & ~F.is_variant_null(given) & F.try_variant_get(
+                e, f"$.{field}", kind).isNull(), F.lit(False))
+    reason = (F.when(F.col("_broken"), F.lit("page is not valid JSON"))
+              .when(no_id, F.lit("element with a null id"))
+              .when(unread, F.lit("element with an unreadable number")))
+    tagged = rows.withColumn("reason", reason)
+    good = F.when(F.col("reason").isNull(), e)
+    columns = _projection(good, fields, date_column, year_column)
+    names = [f.name for f in RAW_FILMS] if fields is C.PAGE_FIELDS else None
+    out = tagged.select(*columns, "reason", F.when(F.col("reason").isNotNull(), F.col("body")).alias("body"))
+    raw = names or [c for c in out.columns if c not in ("reason", "body")]
+    # defaults of missing fields belong to good elements only
+    return out.select(*[F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in raw],
+                      "reason", "body")
 
 
 def ingest_dictionary(
@@ -117,8 +169,9 @@ def ingest_dictionary(
     e = F.col("_e")
     code = F.variant_get(e, f"$.{id_field}", "string")
     name = F.variant_get(e, f"$.{name_field}", "string")
-    return _elements(pages, body, list_field_name).select(
+    out = _elements(pages, body, list_field_name).select(
         required(code, f"dictionary entry without {id_field}").alias(id_column),
         required(name, f"dictionary entry without {name_field}").alias(name_column),
     )
+    return conforming(out, RAW_CODES) if (id_column, name_column) == (C.CODE_ID, C.CODE_NAME) else out
 
