@@ -25,10 +25,15 @@ def profile_table(spark: SparkSession, table: str, col: str) -> DataFrame:
         f"MAX(`{col}`) AS `max_{col}` FROM {table}")
 
 
+def observed_counts(spark: SparkSession, rows: Mapping[str, int]) -> DataFrame:
+    """One row ``(stage, rows)`` per stage from counts that the writes observed."""
+    return spark.createDataFrame(list(rows.items()), "stage string, rows long")
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """One row ``(stage, rows)`` per named stage, as one Spark plan (a union
     of global counts; each branch prunes its input to no columns where the
-    plan allows)."""
+    plan allows). Give it stored stages: it computes what they are made of."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
              for name, df in stages.items()]
     out = parts[0]
