@@ -65,8 +65,7 @@ def build_shard(ids: np.ndarray, planes: int, doc_ids: list, lengths: list[int])
     n, pack = len(x), zstandard.ZstdCompressor(level=1).compress
     sizes, before, zeros, blocks = [], [], [], []
     for level in range(planes - 1, -1, -1):
-        bit = (x >> level) & 1
-        ones = bit.astype(bool)
+        ones = (x & x.dtype.type(1 << level)) != 0
         seen = 0
         for at in range(0, n, BLOCK_BITS):
             block = ones[at:at + BLOCK_BITS]
@@ -201,14 +200,17 @@ class WordCoder(dict):
     """Ids of white-space separated words by the tokenizers library, remembered.
 
     The tokenizer drops white space and never merges across it, so a text's ids
-    are those of its words in turn. A word of ASCII letters or digits followed
-    by sentence marks splits there too (the tokenizer's own pattern does), and
-    it lower-cases, so ``The``, ``the`` and ``the,`` share their work. A text is
-    cut at ASCII white space only; any other space stays inside a word and is
-    left to the tokenizer.
+    are those of its words in turn. It also splits letters from marks and
+    lower-cases, so ``The``, ``the`` and ``the,`` share their work. A word of
+    plain Latin letters is one piece of its pattern; its byte-level form goes
+    straight to the library's merges. Everything else is left to the whole
+    tokenizer, and a text is cut at ASCII white space only.
     """
 
-    MARKS = ".,;:!?"
+    MARKS = ".,;:!?*#$%&)\""
+    #: Latin letters up to here are unchanged by NFC and lower-case one by one
+    #: (but for the dotted capital I).
+    LATIN, DOTTED = "\u0250", "\u0130"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -217,20 +219,34 @@ class WordCoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.planes = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.kind = "<u2" if self.planes <= 16 else "<u4"
+        self.model = self.tokenizer.model
+        # the library's byte-level alphabet: bytes that do not print move up, in order
+        prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        moved = [b for b in range(256) if b not in prints]
+        self.visible = {b: 256 + i for i, b in enumerate(moved)}
+
+    def _plain(self, word: str) -> bool:
+        return word.isalpha() and (word.isascii() or (max(word) < self.LATIN
+                                                      and self.DOTTED not in word))
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.planes <= 16 else 'I'}", *ids)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORD_MEMORY:
             self.clear()
         stem = word.rstrip(self.MARKS)
-        if stem and stem != word and stem[-1].isascii() and stem[-1].isalnum():
+        if stem and stem != word and self._plain(stem[-1]):
             ids = self[stem] + self[word[len(stem):]]
-        elif word.isascii() and word.isalnum() and not word.islower() and word.lower() != word:
-            ids = self[word.lower()]
-        elif word.isascii() and word.isalpha():
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(word)], self.kind).tobytes()
+        elif self._plain(word):
+            low = word.lower()
+            if low != word:
+                ids = self[low]
+            else:
+                piece = low if low.isascii() else low.encode().decode("latin-1").translate(self.visible)
+                ids = self._packed([t.id for t in self.model.tokenize(piece)])
         else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = np.array(found, self.kind).tobytes()
+            ids = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(word) <= 64:
             self[word] = ids
         return ids

@@ -37,7 +37,7 @@ def test_word_memory_equals_the_tokenizer(tokenizer):
     rng = random.Random(2)
     parts = ["a", "B", "The", "ing", " ", "\n", "é", "É", "ß", "日本", "🙂", "0", "\t", "'s", "'S",
              "Don't", "it's,", " ", " ", "́", "ation", "____", "\x1c", "\x0b", "\x85",
-             "İ", "Σ", ".,;", "<|endoftext|>", "ﬁ", "...", "?!", "café."]
+             "İ", "Σ", ".,;", "<|endoftext|>", "ﬁ", "...", "?!", "café.", "Größe", "ÑANDÚ", "œuvre", "Ÿ", "ǅ", "ʼn", "ſ", "ª", "µ", "Å", "ẞ", "Ǆ", "***", "#$%", "x)", "y\"", "'", "'.", "\"'s"]
     for _ in range(2500):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 50)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
