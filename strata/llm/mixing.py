@@ -44,7 +44,9 @@ MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 SEED = 20_011
 CHUNK_ROWS = 20_000
-ROUNDS = 20
+ROUNDS = 16
+#: Slots that one task expands, about.
+TASK_SLOTS = 100_000
 #: A word with the white space after it (the first one also with that before it).
 _WORD_AND_SPACE = r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 
@@ -161,12 +163,16 @@ def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
 def slots(sources: DataFrame, shard_slots: int = SHARD_SLOTS, max_repeats: int = MAX_REPEATS,
           seed: int = SEED) -> DataFrame:
     """Every filled slot of the mix: ``shard, sid, i, turn, block`` (``turn``:
-    the pass over the source)."""
+    the pass over the source). The few rows of counts are dealt out before they
+    are expanded. Runs a job (the number of slots)."""
+    total = sources.agg(F.sum("demand")).first()[0] or 0
+    shuffle = sources.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    tasks = max(int(shuffle), math.ceil(total / TASK_SLOTS))
     before = (Window.partitionBy("sid").orderBy("shard")
               .rowsBetween(Window.unboundedPreceding, -1))
     counts = shard_counts(sources, shard_slots, seed).where("n > 0")
     counts = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    i = counts.select("shard", "sid", "blocks", F.explode(
+    i = counts.repartition(tasks, "shard", "sid").select("shard", "sid", "blocks", F.explode(
         F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("i"))
     i = i.where(F.col("i") < F.col("blocks") * max_repeats)
     i = i.withColumn("turn", F.floor(F.col("i") / F.col("blocks")))
