@@ -43,7 +43,8 @@ SHARD_SLOTS = 16_384
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 SEED = 20_011
-CHUNK_ROWS = 20_000
+#: Rows per hash chunk of all sources at least, and the most chunks (sums of a source).
+CHUNK_ROWS, MAX_CHUNKS = 1_000, 100_000
 ROUNDS = 16
 #: Slots that one task expands, about.
 TASK_SLOTS = 100_000
@@ -194,7 +195,7 @@ class Mix:
         self.rows = self.stored.select(F.col(self.row).alias("row"), "doc_id", "source",
                                        F.col(self.size).alias("size"), F.col(th).alias("th"))
         self.sources = stage(spark, source_targets(self.rows, weights, max_repeats), "targets")
-        chunks = max(1, math.ceil(self.stored.count() / CHUNK_ROWS))
+        chunks = min(MAX_CHUNKS, max(1, math.ceil(self.stored.count() / CHUNK_ROWS)))
         self.pieces = pieces(layout(self.rows, self.sources, chunks))
         self.slots = slots(self.sources, shard_slots, max_repeats, seed)
 
