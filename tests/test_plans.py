@@ -47,4 +47,4 @@ def test_ingest_has_no_exchange_of_its_own(spark):
 
 def test_trend_aggregates_partially_before_the_exchange(spark):
     p = plan(spark, "gold_trend_by_year")
-    assert "partial_count" in p and "partial_sum" in p
+    assert "partial_count" in p and "partial_try_sum" in p
