@@ -45,7 +45,8 @@ LEAST_STEPS = 150             # a small sample is passed over more often
 KEEP = 0.6                    # share of a text's words in one training step
 MIN_DOCS = 3                  # documents of the sample a feature must occur in
 CALIBRATION = 4               # every 4th document of the sample calibrates
-WORD_MEMORY = 150_000
+#: Words remembered per Python worker; the memory is emptied when full.
+WORD_MEMORY = 500_000
 SEED = 9
 MARKS = "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)))) + "«»“”„’…"
 #: Function words by language.
@@ -58,10 +59,17 @@ LANGUAGES = (
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a normalised word: whole form, beginnings, endings."""
-    names = [f"={word}", *(f"^{word[:k]}" for k in range(3, 9) if len(word) > k),
-             *(f"{word[-k:]}$" for k in (3, 4) if len(word) > k)]
-    return [zlib.crc32(n.encode()) % BUCKETS for n in names]
+    """Hashed features of a normalised word: whole form, beginnings of 3 to 8
+    characters and endings of 3 and 4, where the word is longer."""
+    size, crc = len(word), zlib.crc32
+    found = [crc(f"={word}".encode()) % BUCKETS]
+    running = crc(b"^")
+    for k, char in enumerate(word[:min(8, size - 1)], 1):
+        running = crc(char.encode(), running)
+        if k > 2:
+            found.append(running % BUCKETS)
+    found += [crc(f"{word[-k:]}$".encode()) % BUCKETS for k in (3, 4) if size > k]
+    return found
 
 
 def normal(raw: str) -> str:
@@ -94,32 +102,36 @@ class Scorer:
         self._start()
 
     def _start(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.shares = np.empty((1024, self.flat.shape[1]), np.float32)
-        self.votes = np.empty((1024, len(LANGUAGES)), np.float32)
+        self.ids: dict[str, int] = {}           # word as written -> row
+        self.forms: dict[str, int] = {}         # normalised word -> row
+        self.shares = np.empty((4096, self.flat.shape[1]), np.float32)
+        self.votes = np.empty((4096, len(LANGUAGES)), np.float32)
 
     def _learn(self, words: list[str]) -> None:
-        new = list(dict.fromkeys(w for w in words if w not in self.ids))
-        need = len(self.ids) + len(new)
+        """Rows for words not met before; spellings of one form share a row."""
+        some = {w: normal(w) for w in words}
+        new = list({f for f in some.values() if f not in self.forms})
+        need = len(self.forms) + len(new)
         if need > len(self.shares):
             size = max(need, 2 * len(self.shares))
             for name in ("shares", "votes"):
                 old = getattr(self, name)
                 grown = np.empty((size, old.shape[1]), np.float32)
-                grown[:len(self.ids)] = old[:len(self.ids)]
+                grown[:len(self.forms)] = old[:len(self.forms)]
                 setattr(self, name, grown)
         for part in range(0, len(new), 4096):
-            some = [normal(w) for w in new[part:part + 4096]]
-            rows = [features(w) for w in some]
-            ends = np.cumsum([len(r) for r in rows])
-            total = np.add.reduceat(self.model.embed[np.concatenate(rows)],
-                                    np.r_[0, ends[:-1]], axis=0)
-            at = len(self.ids)
-            self.shares[at:at + len(some)] = total @ self.flat
-            self.votes[at:at + len(some)] = 0
-            for i, word in enumerate(some):
-                self.votes[at + i, self.family.get(word, [])] = 1
-            self.ids.update(zip(new[part:part + 4096], range(at, at + len(some))))
+            block = new[part:part + 4096]
+            rows = [features(f) for f in block]
+            starts = np.cumsum([0, *map(len, rows[:-1])])
+            at = len(self.forms)
+            self.shares[at:at + len(block)] = np.add.reduceat(
+                self.model.embed[[i for r in rows for i in r]], starts, axis=0) @ self.flat
+            self.votes[at:at + len(block)] = 0
+            for i, form in enumerate(block):
+                if form in self.family:
+                    self.votes[at + i, self.family[form]] = 1
+            self.forms.update(zip(block, range(at, at + len(block))))
+        self.ids.update((w, self.forms[f]) for w, f in some.items())
 
     def pooled(self, text: str) -> tuple[np.ndarray, int]:
         """Pooled filter values and the guessed language of one text."""
@@ -129,10 +141,12 @@ class Scorer:
         step = 20_000                           # windows overlap, so any cut gives the same
         for at in range(0, len(words), step):
             part = words[at:at + step + max(WIDTHS) - 1]
-            if any(w not in self.ids for w in part):
-                if len(self.ids) > WORD_MEMORY:
+            known = self.ids
+            if missing := [w for w in part if w not in known]:
+                if len(known) > WORD_MEMORY:
                     self._start()
-                self._learn(part)
+                    missing = part
+                self._learn(missing)
             ids = np.fromiter(map(self.ids.__getitem__, part), np.int64, len(part))
             rows = self.shares[ids]
             votes += self.votes[ids[:step]].sum(axis=0)
