@@ -12,6 +12,10 @@
 3. Each page is parsed again and the text is taken from the elements at the
    host's best path that the page has, unless that holds less than half of what
    the page's own best container holds (an odd page of its host).
+4. From there it climbs to the enclosing article (else main), or without one
+   through ancestors below the body that are named like content, hold
+   paragraphs or headings of their own or several elements of one label, so
+   that titles, leads and sibling sections stay.
 
 Text: character references decoded, inline markup dropped, white space inside
 a block turned into one space, blocks joined in page order by one space.
@@ -57,6 +61,8 @@ DROPPED_WORDS = frozenset(
     "comment comments commentlist disqus respond reply replies popup modal overlay widget widgets "
     "pagination pager skip hidden".split())
 GOOD_WORDS = frozenset("article content post story entry main text body".split())
+#: Blocks that make their parent part of the article.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 STATES = frozenset("has with no is without".split())
 ENDED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -180,6 +186,54 @@ def text_of(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
+def _own_prose(node: Node) -> bool:
+    """Whether ``node`` itself holds headings, paragraphs or text, mostly unlinked."""
+    size = linked = 0
+    for part in node.parts:
+        if part.__class__ is str:
+            size += len(part.strip())
+        elif not part.dropped and part.tag in PROSE:
+            n, in_links = _block_size(part)
+            size, linked = size + n, linked + in_links
+    return size > 2 * linked
+
+
+def whole(node: Node) -> Node:
+    """The article that ``node`` is the best part of, or ``node``."""
+    above = []
+    while node.parent:
+        above.append(node)
+        node = node.parent
+    for tag in ("article", "main"):
+        for up in reversed(above):
+            if up.tag == tag:
+                return up
+    best = above[0] if above else node
+    for child, up in zip(above, above[1:]):
+        if up.tag in ("body", "html"):
+            break
+        alike = any(p is not child and p.__class__ is Node and p.label == child.label for p in up.parts)
+        if alike or any(w in GOOD_WORDS for w in up.words) or _own_prose(up):
+            best = up
+        elif any(p is not child and (p.strip() if p.__class__ is str else not p.dropped and text_of(p))
+                 for p in up.parts):
+            break
+    return best
+
+
+def _joined(nodes: list[Node]) -> str:
+    """The text of the whole articles of ``nodes``, each once, in page order."""
+    tops = {id(n): n for n in map(whole, nodes)}
+    texts = []
+    for node in tops.values():
+        up = node.parent
+        while up and id(up) not in tops:
+            up = up.parent
+        if not up:
+            texts.append(text_of(node))
+    return " ".join(filter(None, texts))
+
+
 def _block_size(block: Node) -> tuple[int, int]:
     """Characters directly in a block (through inline elements), and of those in links."""
     size = linked = 0
@@ -238,11 +292,11 @@ def extract(html: str, paths: list[str]) -> str:
         label = path.rpartition("/")[2]
         at = [n for n in elements(root) if n.label == label and n.path() == path]
         if at:
-            text = " ".join(filter(None, map(text_of, at)))
+            text = _joined(at)
             if top is None or (text and 2 * sum(n.score for n in at) >= top.score):
                 return text
             break
-    return text_of(top if top is not None else root)
+    return text_of(whole(top) if top is not None else root)
 
 
 # ---------------------------------------------------------------------------
