@@ -4,7 +4,9 @@
    its length, less its links, to its parent and half of that to its
    grandparent; article-like containers weigh more. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out
-   by tag, role, and class or id words.
+   by tag, role, and class or id names of boilerplate words only. A subtree with
+   such a name that holds over half of the page's unlinked text stays, at half
+   its score, unless an article element stands apart from it.
 2. The best containers vote for their generalised path: tags with their class
    names from the root, digits removed. Votes are summed per host in Spark
    (partial sums per task, so a host with a third of all pages is one row per
@@ -50,7 +52,7 @@ GOOD_TAGS = frozenset("article main".split())
 #: Subtrees without main text.
 DROPPED = frozenset(
     "script style noscript template svg math iframe object canvas audio video head title nav footer "
-    "aside form button select option textarea input dialog menu figcaption".split())
+    "aside form button select option textarea input dialog menu".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar "
                           "dialog alert alertdialog".split())
 DROPPED_WORDS = frozenset(
@@ -60,6 +62,16 @@ DROPPED_WORDS = frozenset(
     "sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar "
     "comment comments commentlist disqus respond reply replies popup modal overlay widget widgets "
     "pagination pager skip hidden".split())
+#: Words that say nothing about a name's other words. A name marks boilerplate when
+#: it consists of these and ``DROPPED_WORDS``; any other word ("related-work") leaves it open.
+FRAME_WORDS = frozenset(
+    "site page post posts article articles story stories entry entries main top bottom left right center "
+    "middle inner outer upper lower box boxes block blocks wrap wrapper container content area areas "
+    "section sections list lists item items bar bars link links button buttons btn panel pane form "
+    "title heading head header body text row col column columns group unit units slot slots space frame "
+    "label icon icons media first second third primary secondary global mobile desktop small large big "
+    "fixed sticky to for on and the more your our user users reader thread count meta info message "
+    "policy email mail facebook twitter google image images img video print js".split())
 GOOD_WORDS = frozenset("article content post story entry main text body".split())
 #: Blocks that make their parent part of the article.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
@@ -71,7 +83,7 @@ FENCES = frozenset("ul ol dl table article main section div body html td th".spl
 
 
 class Node:
-    __slots__ = ("tag", "label", "words", "parent", "parts", "dropped", "score", "in_article")
+    __slots__ = ("tag", "label", "words", "parent", "parts", "dropped", "suspect", "score", "in_article")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.parent, self.parts, self.score = tag, parent, [], 0.0
@@ -80,6 +92,7 @@ class Node:
         self.words = _words(f"{names} {attrs.get('id', '')}") if names or "id" in attrs else ()
         classes = sorted({c for c in re.sub(r"[0-9]+", "", names.lower()).split() if c})
         self.label = ".".join([tag, *classes])
+        self.suspect = False
         self.dropped = bool(parent and parent.dropped) or self._boilerplate(attrs)
 
     def _boilerplate(self, attrs: dict[str, str]) -> bool:
@@ -93,8 +106,9 @@ class Node:
             return True
         if "display:none" in attrs.get("style", "").replace(" ", "").lower():
             return True
-        return any(w in DROPPED_WORDS and (i == 0 or self.words[i - 1] not in STATES)
-                   for i, w in enumerate(self.words))
+        if self.words and not DROPPED_WORDS.isdisjoint(self.words):
+            self.suspect = any(map(_marks_boilerplate, f"{attrs.get('class', '')} {attrs.get('id', '')}".split()))
+        return False
 
     def path(self) -> str:
         labels, node = [], self
@@ -109,12 +123,48 @@ def _words(names: str) -> tuple[str, ...]:
     return tuple(re.findall(r"[a-z]+", apart.lower()))
 
 
+def _marks_boilerplate(name: str) -> bool:
+    """Whether one class or id says that its element is no main text."""
+    words = _words(name)
+    marked = [w in DROPPED_WORDS and (i == 0 or words[i - 1] not in STATES) for i, w in enumerate(words)]
+    return any(marked) and all(m or w in FRAME_WORDS for m, w in zip(marked, words))
+
+
+def _unlinked(root: Node) -> int:
+    """Characters of unlinked text, of suspect subtrees too."""
+    size, pending = 0, [root]
+    while pending:
+        for part in pending.pop().parts:
+            if part.__class__ is str:
+                size += len(part.strip())
+            elif not part.dropped and part.tag != "a":
+                pending.append(part)
+    return size
+
+
+def _article_apart(root: Node, suspect: Node) -> bool:
+    """Whether an article with text stands elsewhere than in or around ``suspect``."""
+    around, up = set(), suspect.parent
+    while up:
+        around.add(id(up))
+        up = up.parent
+    pending = [root]
+    while pending:
+        node = pending.pop()
+        if node.tag in GOOD_TAGS and id(node) not in around and _unlinked(node):
+            return True
+        pending.extend(p for p in node.parts if p.__class__ is Node and p is not suspect
+                       and not p.dropped and not p.suspect or id(p) in around)
+    return False
+
+
 class _Tree(HTMLParser):
     """Builds the element tree; ``root`` has the tag ``''``."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("", {}, None)
+        self.suspects: list[Node] = []
 
     def _close(self, tags: tuple[str, ...] | frozenset[str], fences: frozenset[str]) -> None:
         node = self.open
@@ -131,6 +181,8 @@ class _Tree(HTMLParser):
             self._close(SIBLINGS[tag], FENCES - frozenset(SIBLINGS[tag]))
         node = Node(tag, {k: v or "" for k, v in attrs}, self.open)
         self.open.parts.append(node)
+        if node.suspect:
+            self.suspects.append(node)
         if tag not in VOID:
             self.open = node
 
@@ -156,6 +208,12 @@ def parse(html: str) -> Node:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    if tree.suspects:
+        half = _unlinked(tree.root) / 2
+        large = [n for n in tree.suspects if _unlinked(n) > half]
+        kept = {id(n) for n in large if not _article_apart(tree.root, n)}
+        for node in tree.suspects:
+            node.dropped = id(node) not in kept
     return tree.root
 
 
@@ -273,6 +331,8 @@ def scored(root: Node) -> list[Node]:
             node.score *= 1.5
         elif any(w in GOOD_WORDS for w in node.words):
             node.score *= 1.25
+        if node.suspect:
+            node.score *= 0.5
     order = [n for n in found if n.score > 0 and n.tag in CONTAINERS]
     return sorted(order, key=lambda n: -n.score)
 
