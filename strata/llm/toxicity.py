@@ -6,8 +6,9 @@ widths 1, 2 and 3 slide over the whole text; each keeps its largest response
 (max pooling) and a logistic layer weighs them. Training is plain numpy on the
 driver over a bounded sample: at most ``SAMPLE_ROWS`` labelled documents per
 class of at most ``SAMPLE_CHARS`` characters, taken in hash order among rows
-whose crc32(doc_id) mod 5 is not 0. A part of the sample that is not trained on
-calibrates one threshold per language (F1 at the classes' true rates). The
+whose crc32(doc_id) mod 5 is not 0. One threshold per language (F1 at the classes'
+true rates) is calibrated on all labelled documents that are neither held out
+nor trained on, scored in Spark and counted per language and logit bin. The
 language is guessed from the text's function words, never read from ``lang``;
 the logit is shifted by the threshold, so 0.5 is the border everywhere.
 
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import fresh, table
+from strata.operators.joins import sized_broadcast
 
 SAMPLE_ROWS = 1_000
 SAMPLE_CHARS = 200_000
@@ -44,7 +46,8 @@ EPOCHS, BATCH, RATE = 6, 32, 0.15
 LEAST_STEPS = 150             # a small sample is passed over more often
 KEEP = 0.6                    # share of a text's words in one training step
 MIN_DOCS = 3                  # documents of the sample a feature must occur in
-CALIBRATION = 4               # every 4th document of the sample calibrates
+CALIBRATION = 4               # every 4th document of the sample is not trained on
+BINS, MOST = 64, 40           # calibration bins per unit of logit; logits beyond +-MOST share a bin
 #: Words remembered per Python worker; the memory is emptied when full.
 WORD_MEMORY = 500_000
 SEED = 9
@@ -183,9 +186,13 @@ class Scorer:
 # Training
 # ---------------------------------------------------------------------------
 
-def train(texts: list[str], labels: np.ndarray, rates: tuple[float, float]) -> Model:
-    """A model from the sample; ``rates`` are the rows of class 0 and 1 that one
-    sampled row stands for (they weigh the calibration)."""
+def trained_on(n: int) -> np.ndarray:
+    """Which of ``n`` sampled documents the training uses."""
+    return np.arange(n) % CALIBRATION != 0
+
+
+def train(texts: list[str], labels: np.ndarray) -> Model:
+    """A model from the sample, not calibrated yet."""
     rng = np.random.default_rng(SEED)
     vocabulary: dict[str, int] = {}
     docs = []
@@ -197,7 +204,7 @@ def train(texts: list[str], labels: np.ndarray, rates: tuple[float, float]) -> M
     table_ = np.full((len(rows), width), BUCKETS)
     for i, r in enumerate(rows):
         table_[i, :len(r)] = r
-    fit = np.array([i % CALIBRATION != 0 for i in range(len(texts))])
+    fit = trained_on(len(texts))
     seen = np.zeros(BUCKETS + 1, np.int32)
     for i in np.flatnonzero(fit):
         seen[np.unique(table_[np.unique(docs[i])])] += 1
@@ -264,30 +271,31 @@ def train(texts: list[str], labels: np.ndarray, rates: tuple[float, float]) -> M
                 s += g ** 2
                 p -= RATE * 0.3 * g / np.sqrt(s)
 
-    model = Model(embed, kernels, bias, out, float(out_bias[0]), np.zeros(len(LANGUAGES) + 1))
-    scorer = Scorer(model)
-    held = np.flatnonzero(~fit)
-    found = [scorer.logit(texts[i]) for i in held]
-    logits, languages = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-    weights = np.where(labels[held] == 1, rates[1], rates[0])
-    everywhere = _threshold(logits, labels[held], weights, 0.0)
-    for language in range(len(model.shift)):
-        own = languages == language
-        model.shift[language] = _threshold(logits[own], labels[held][own], weights[own], everywhere)
-    return model
+    return Model(embed, kernels, bias, out, float(out_bias[0]), np.zeros(len(LANGUAGES) + 1))
+
 
+def shifts(counts: list[tuple[int, int, int, int]], sizes: dict[int, int]) -> np.ndarray:
+    """The threshold of each language from rows of (language, bin, toxic, n);
+    ``sizes`` are the labelled documents of class 0 and 1."""
+    rows = np.array(counts, np.int64).reshape(-1, 4)
+    seen = [rows[rows[:, 2] == y, 3].sum() for y in (0, 1)]
+    rates = [sizes[y] / max(1, seen[y]) for y in (0, 1)]
+    everywhere = _threshold(rows, rates, 0.0)
+    return np.array([_threshold(rows[rows[:, 0] == k], rates, everywhere)
+                     for k in range(len(LANGUAGES) + 1)])
 
-def _threshold(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray, otherwise: float,
-               least: int = 5) -> float:
+
+def _threshold(rows: np.ndarray, rates: list[float], otherwise: float, least: int = 5) -> float:
     """The cut of best F1, in the middle of the widest gap among equals."""
-    if (labels == 1).sum() < least or (labels == 0).sum() < least:
+    toxic = rows[:, 2] == 1
+    if rows[toxic, 3].sum() < least or rows[~toxic, 3].sum() < least:
         return otherwise
-    order = np.argsort(-logits)
-    value, hit = logits[order], (labels[order] == 1) * weights[order]
-    true, taken = np.cumsum(hit), np.cumsum(weights[order])
-    f1 = 2 * true / (hit.sum() + taken)
-    f1[:-1][value[:-1] == value[1:]] = -1         # no cut between equal values
-    gap = np.r_[value[:-1] - value[1:], 0.0]
+    bins, place = np.unique(-rows[:, 1], return_inverse=True)      # highest logits first
+    hit = np.bincount(place, np.where(toxic, rows[:, 3] * rates[1], 0.0))
+    all_ = np.bincount(place, rows[:, 3] * np.where(toxic, rates[1], rates[0]))
+    f1 = 2 * np.cumsum(hit) / (hit.sum() + np.cumsum(all_))
+    value = (0.5 - bins) / BINS
+    gap = np.r_[value[:-1] - value[1:], 1 / BINS]
     best = max(range(len(f1)), key=lambda i: (round(f1[i], 6), gap[i]))
     return float(value[best] - gap[best] / 2)
 
@@ -300,8 +308,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def calibration_counts(labelled: DataFrame, model: Model) -> DataFrame:
+    """``language, bin, toxic, n`` of the documents in ``labelled`` (``text, toxic``)
+    that have words: at most 2 * MOST * BINS bins per language and class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            rows = []
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                if (text := text.as_py() or "").split():
+                    logit, language = scorer.logit(text)
+                    rows.append((language, int(np.floor(np.clip(logit, -MOST, MOST) * BINS)), toxic))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], pa.int32()) for i in range(3)], ["language", "bin", "toxic"])
+
+    return (labelled.select("text", F.col("toxic").cast("int").alias("toxic"))
+            .mapInArrow(run, "language int, bin int, toxic int")
+            .groupBy("language", "bin", "toxic").agg(F.count(F.lit(1)).alias("n")))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Train on a bounded sample of the labelled documents (collected)."""
+    """Train on a bounded sample of the labelled documents (collected), calibrate
+    on all others that are not held out. Runs jobs."""
     known = (labels.where("toxic is not null and doc_id is not null")
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n"))
@@ -316,8 +345,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     y = np.array([r["toxic"] for r in sample])
     if (y == 1).sum() < 4 or (y == 0).sum() < 4:
         return None
-    rates = tuple(sizes[c] / (y == c).sum() for c in (0, 1))
-    return train([r["text"] for r in sample], y, rates)
+    model = train([r["text"] for r in sample], y)
+    used = {(r["doc_id"],) for r, own in zip(sample, trained_on(len(sample))) if own}
+    used = docs.sparkSession.createDataFrame(list(used), docs.select("doc_id").schema)
+    rest = known.where("toxic in (0, 1)").join(F.broadcast(used), "doc_id", "left_anti")
+    labelled = docs.select("doc_id", "text").join(sized_broadcast(rest), "doc_id")
+    model.shift = shifts([tuple(r) for r in calibration_counts(labelled, model).collect()], sizes)
+    return model
 
 
 _SCORERS: dict[bytes, Scorer] = {}
