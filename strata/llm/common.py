@@ -3,10 +3,14 @@ through the shared checkpoint folder, and distributed prefix positions."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
+from strata.sources.files import Folder
 
 # A word: a maximal run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,8 +28,40 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     back: later jobs (and retries after a lost executor) start from the files.
     Runs a job."""
     path = scratch_path(spark, f"llm-{name}")
+    for held in _HELD[-1:]:
+        held.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+#: Folders that :func:`stage` made inside each open :func:`spent`.
+_HELD: list[list[str]] = []
+
+
+@contextmanager
+def spent(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Removes, at its end, the folders that :func:`stage` made inside it, but for
+    those of the stages that were passed through the given function, which hands
+    them back. Nothing else made inside may be read afterwards."""
+    held: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.staged_at)
+        return df
+
+    _HELD.append(held)
+    try:
+        yield keep
+    finally:
+        _HELD.pop()
+        for outer in _HELD[-1:]:
+            outer.extend(kept)
+        for path in held:
+            if path not in kept:
+                Folder(spark, path).delete()
 
 
 def fresh(df: DataFrame, name: str) -> str:
