@@ -203,17 +203,18 @@ class Mix:
         """The mix itself: per output shard and slot the pieces of its block."""
         slot = F.row_number().over(Window.partitionBy("shard").orderBy(
             F.xxhash64(F.lit(SEED), "sid", "i"), "sid", "i"))
-        return (self.slots.withColumn("slot", slot).join(self.pieces, ["sid", "block"])
+        return (self.slots.withColumn("slot", slot).join(self.pieces.hint("merge"), ["sid", "block"])
                 .join(sized_broadcast(self.sources.select("sid", "source")), "sid")
                 .select("shard", "slot", "source", "turn", "block", "doc_id", "row", "at", "words"))
 
     def taken(self) -> DataFrame:
         """Per document how many of its words the mix takes, repeats counted."""
         times = self.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-        used = self.pieces.join(times, ["sid", "block"]).groupBy("row").agg(
+        # both sides grow with the documents: neither is broadcast
+        used = self.pieces.join(times.hint("merge"), ["sid", "block"]).groupBy("row").agg(
             F.sum(F.col("words") * F.col("times")).alias("taken"))
         sources = self.sources.select(F.col("source").alias("s"), "source_size", "target")
-        return (self.rows.join(used, "row", "left")
+        return (self.rows.join(used.hint("merge"), "row", "left")
                 .join(sized_broadcast(sources), F.col("source").eqNullSafe(F.col("s")))
                 .select("doc_id", "source", "size", "source_size", "target",
                         F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
@@ -222,7 +223,7 @@ class Mix:
         """The mix as documents: a row per document and pass with the words
         taken in that pass, in their order and with their white space (the whole
         text where all are). ``n_chars``, if there is one, is counted anew."""
-        spans = (self.slots.join(self.pieces, ["sid", "block"]).groupBy("row", "turn").agg(
+        spans = (self.slots.join(self.pieces.hint("merge"), ["sid", "block"]).groupBy("row", "turn").agg(
             F.array_sort(F.collect_list(F.struct("at", "words"))).alias("spans"),
             F.sum("words").alias("kept")))
         spans = spans.select(F.col("row").alias("__row"), "spans", "kept")
