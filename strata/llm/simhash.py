@@ -164,14 +164,24 @@ def _searched(keyed: DataFrame, radius: int) -> DataFrame:
 
 
 def _dealt(fps: DataFrame, radius: int) -> DataFrame:
-    """Edges among ``fps`` by shared values within radius/2 bits (even radius)."""
+    """Edges among ``fps`` by shared places of the hypercube: for an even radius
+    the values within radius/2 bits, for an odd one the edges (a value and one
+    free bit) with an end within (radius - 1)/2 bits. All that share a place are
+    within the radius of each other, so its smallest stands for it; two within
+    the radius share the middle of the way between them."""
     half = radius // 2
     flips = [sum(1 << i for i in at) for n in range(half + 1) for at in combinations(range(64), n)]
     flips = [f - (1 << 64) if f >> 63 else f for f in flips]
     near = fps.select("fp", F.explode(F.transform(
         F.lit(np.array(flips, "<i8")), lambda f: F.col("fp").bitwiseXOR(f))).alias("z"))
-    first = near.groupBy("z").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b < top")
-    return near.join(first.select("z", "b"), "z").where("fp <> b").select(
+    place = ["z"]
+    if radius % 2:
+        bits = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
+        near = near.select("fp", "z", F.explode(F.lit(np.array(bits, "<i8"))).alias("free")).select(
+            "fp", F.col("z").bitwiseAND(F.bitwise_not("free")).alias("z"), "free")
+        place = ["z", "free"]
+    first = near.groupBy(*place).agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b < top")
+    return near.join(first.select(*place, "b"), place).where("fp <> b").select(
         F.col("fp").alias("a"), "b").distinct()
 
 
@@ -186,8 +196,6 @@ def links(spark: SparkSession, fps: DataFrame, radius: int = MAX_BITS,
     keyed = fps.select("fp", F.explode(tables).alias("key"))
     if fps.count() <= bucket_rows:
         return _searched(keyed, radius)
-    if radius % 2:
-        raise ValueError("large buckets need an even radius")
     large = stage(spark, keyed.groupBy("key").count().where(F.col("count") > bucket_rows)
                   .select("key"), "large-buckets")
     if large.isEmpty():

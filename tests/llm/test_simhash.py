@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from frames import EDGE, clashing, docs
 
@@ -85,11 +86,35 @@ def test_components_against_brute_force_with_and_without_large_buckets(spark):
 
 
 def test_bucket_edges_span_the_links():
-    fps = np.array([0, 1, 3, 255, 254, 1 << 40], np.uint64)
+    fps = np.array([0, 1, 3, 255, 254, 7 << 40], np.uint64)
     fps.sort()
     assert S.bucket_edges(fps, 1) == [(1, 0), (3, 0), (255, 254)]
 
 
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_odd_and_even_radius_in_large_buckets(spark, radius):
+    """Above and below the bucket bound the same components, as all pairs give."""
+    rng = random.Random(radius)
+    fps = {rng.getrandbits(64) for _ in range(8)} | {1 << 63, 0, (1 << 64) - 1}
+    for _ in range(4):
+        fps |= {f ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for f in rng.sample(sorted(fps), 8)}
+    signed = {f - (1 << 64) if f >> 63 else f: f for f in fps}
+    want = {k: {k} for k in signed}
+    for x in signed:
+        for y in signed:
+            if (signed[x] ^ signed[y]).bit_count() <= radius and want[x] is not want[y]:
+                want[x] |= want[y]
+                for z in want[y]:
+                    want[z] = want[x]
+    frame = spark.createDataFrame([(k,) for k in signed], "fp long")
+    for bucket_rows in (8192, 1):
+        nodes = dict(S.connected(spark, S.links(spark, frame, radius, bucket_rows)).collect())
+        got = {}
+        for k in signed:
+            got.setdefault(nodes.get(k, k), set()).add(k)
+        assert {frozenset(p) for p in got.values()} == {frozenset(p) for p in want.values()}
+
+
 def test_given_documents(spark, small_sf):
     given = {r.doc_id: r.text for r in spark.read.parquet(f"{small_sf}/documents.parquet").collect()}
     rows = S.op2_simhash(spark, small_sf).collect()
