@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by cosine on robust-pruned directed graphs
 (operator 4).
 
-Vectors are dealt by hash into shards of about ``SHARD_ROWS`` distinct vectors,
-so a shard always fits a task. In a shard points are inserted in random order
+Directions are dealt by hash into shards of ``SHARD_ROWS`` to ``SHARD_LIMIT``, so
+a shard always fits a task. In a shard points are inserted in random order
 in batches that double in size: a greedy beam search from the entry point
 proposes ``BEAM`` candidates, robust pruning keeps up to ``DEGREE`` of them
 (nearest first; a candidate q is left out when ``RELAX`` x d(p, q) <= d(own, q)
@@ -12,14 +12,24 @@ as a table. Every query searches every shard by beam search; the shard's
 candidates are scored exactly in double precision on the original vectors, and
 the best of all shards stay.
 
-Equal vectors are one graph point with its k + 1 smallest ids: no other member
-can be among the k nearest (ties go to smaller ids, the query's own is left
-out). So a vector that a third of all rows share neither fills a shard nor
-breaks the graph.
+Vectors of one direction (unit vectors equal to ``DIGITS`` decimals: their
+cosines with anything differ by rounding only) are one graph point with its k +
+1 smallest ids and their own vectors: no other member can be among the k nearest
+(ties go to smaller ids, the query's own is left out). So a direction that a
+third of all rows share neither fills a shard nor breaks the graph, in which one
+neighbour at distance zero would stand for all others. Vectors are scaled by a
+power of two before they are multiplied, which changes no result and keeps very
+large and very small components finite.
+
+The number of shards grows to ``SHARDS`` first and their size after that, up to
+``SHARD_LIMIT``: beyond, a query still meets every shard, so searches grow with
+queries times rows / ``SHARD_LIMIT``. A shard's points and its queries stream
+through its task, points first; the queries are never held together, and the
+index is read once per ``QUERY_BLOCK`` queries.
 
 Rows: vectors that are null, empty, zero, or hold null or non-finite components
 take no part, neither do rows without id. Vectors are compared within their
-length. Rows that repeat an id are one candidate per distinct vector; a query
+length. Rows that repeat an id are one candidate per direction; a query
 never finds its own id. With no more than k candidates all are returned. An
 empty table gives an empty result.
 """
@@ -27,17 +37,20 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stage, table
 from strata.operators.joins import sized_broadcast
 
-SHARD_ROWS = 4_096
-QUERY_BLOCK = 10_000
+SHARD_ROWS, SHARDS, SHARD_LIMIT = 4_096, 64, 1 << 17
+QUERY_BLOCK = 1_000_000
+DIGITS = 10
 DEGREE, BEAM, RELAX = 32, 64, 1.2
 BATCH, STEP = 256, 4
 QUERY_STRIDE = 50
@@ -163,19 +176,20 @@ def build(x: np.ndarray, seed: int = SEED) -> Graph:
     return graph
 
 
-def unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
-    """Double vectors and single-precision unit vectors."""
+def unit(vectors) -> tuple[np.ndarray, np.ndarray]:
+    """Double vectors, each scaled exactly by a power of two, and
+    single-precision unit vectors."""
     raw = np.array([np.asarray(v, np.float64) for v in vectors])
-    scaled = raw / np.abs(raw).max(axis=1, keepdims=True)
-    return raw, (scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))).astype(np.float32)
+    raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, keepdims=True))[1])
+    return raw, (raw / np.sqrt((raw**2).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
 # ---------------------------------------------------------------------------
 # Spark
 # ---------------------------------------------------------------------------
 
-INDEX = ("dim int, shard int, point int, members array<long>, vector array<double>, "
-         "neighbours array<int>, entry boolean")
+MEMBER = "struct<vec_id:long, vector:array<double>>"
+INDEX = f"dim int, shard int, point int, members array<{MEMBER}>, neighbours array<int>, entry boolean"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -189,67 +203,122 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
             .select("vec_id", F.size("vector").alias("dim"), "vector"))
 
 
+def _direction() -> Column:
+    """The unit vector to ``DIGITS`` decimals, as whole numbers."""
+    top = F.array_max(F.transform("vector", F.abs))
+    scaled = F.transform("vector", lambda v: v / top)
+    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, v: total + v * v))
+    return F.transform(scaled, lambda v: F.round(v / norm * 10.0**DIGITS).cast("long"))
+
+
+def shard_count(points: int, shard_rows: int = SHARD_ROWS, shards: int = SHARDS,
+                limit: int = SHARD_LIMIT) -> int:
+    return max(1, min(math.ceil(points / shard_rows), max(shards, math.ceil(points / limit))))
+
+
 def build_index(vectors: DataFrame, k: int = NEAREST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The graph of every shard, a row per point. ``vectors`` is ``usable``.
-    Runs a job (the number of distinct vectors)."""
-    first = Window.partitionBy("vector").orderBy("vec_id")
-    points = (vectors.distinct().withColumn("place", F.row_number().over(first))
-              .where(F.col("place") <= k + 1).groupBy("dim", "vector")
-              .agg(F.sort_array(F.collect_list("vec_id")).alias("members")))
-    shards = max(1, math.ceil(vectors.select("vector").distinct().count() / shard_rows))
-    points = points.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
+    Runs a job (the number of directions)."""
+    rows = (vectors.withColumn("direction", _direction()).groupBy("dim", "direction", "vec_id")
+            .agg(F.min("vector").alias("vector")))
+    # the k + 1 smallest ids per direction, kept apart in two steps: a hot one is cut per task first
+    place = Window.partitionBy("dim", "direction", "salt").orderBy("vec_id")
+    few = (rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
+           .withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1))
+    members = F.array_sort(F.collect_list(F.struct("vec_id", "vector").cast(MEMBER)))
+    points = few.groupBy("dim", "direction").agg(F.slice(members, 1, k + 1).alias("members"))
+    points = points.withColumn("hash", F.xxhash64("direction"))
+    shards = shard_count(rows.select("dim", "direction").distinct().count(), shard_rows)
+    points = points.select("dim", F.pmod("hash", F.lit(shards)).cast("int").alias("shard"), "members")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("members", key=lambda m: m.str[0]).reset_index(drop=True)
-        graph = build(unit(pdf["vector"])[1])
+        first = pdf["members"].map(lambda m: m[0]["vec_id"])
+        pdf = pdf.iloc[np.argsort(first.to_numpy(), kind="stable")].reset_index(drop=True)
+        graph = build(unit([m[0]["vector"] for m in pdf["members"]])[1])
         return pd.DataFrame({
             "dim": pdf["dim"], "shard": pdf["shard"], "point": np.arange(len(pdf)),
-            "members": pdf["members"], "vector": pdf["vector"],
+            "members": [list(m) for m in pdf["members"]],
             "neighbours": [row[row >= 0] for row in graph.to],
             "entry": np.arange(len(pdf)) == graph.entry})
 
     return points.groupBy("dim", "shard").applyInPandas(run, INDEX)
 
 
+class _Shard:
+    """A shard's graph and members, from its index rows."""
+
+    def __init__(self, rows: list[dict]):
+        rows.sort(key=lambda r: r["point"])
+        self.ids = [[m["vec_id"] for m in r["members"]] for r in rows]
+        self.raw = [unit([m["vector"] for m in r["members"]])[0] for r in rows]
+        self.norm = [np.sqrt((raw * raw).sum(axis=1)) for raw in self.raw]
+        x = unit([r["members"][0]["vector"] for r in rows])[1]
+        to = np.full((len(rows), DEGREE), -1, np.int32)
+        for i, r in enumerate(rows):
+            to[i, :len(r["neighbours"])] = r["neighbours"]
+        self.graph = Graph(x, to, next(i for i, r in enumerate(rows) if r["entry"]))
+
+    def nearest(self, query_ids: list[int], vectors: list, k: int, beam: int) -> Iterator[tuple]:
+        ask, q = unit(vectors)
+        found, _ = self.graph.search(q, max(beam, k + 1))
+        for row, (me, own) in enumerate(zip(query_ids, ask)):
+            size, best = np.sqrt((own * own).sum()), []
+            for p in found[row][found[row] >= 0]:
+                scores = (self.raw[p] * own).sum(axis=1) / (self.norm[p] * size)
+                best += [(-s, v) for s, v in zip(scores.tolist(), self.ids[p]) if v != me]
+            for less, v in sorted(best)[:k]:
+                yield me, v, -less
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, beam: int = BEAM) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k nearest of each query over all
-    shards of a stored index. ``queries`` is ``usable``; a shard meets them in
-    blocks of about ``QUERY_BLOCK``. Runs a job (the number of queries)."""
+    shards of a stored index. ``queries`` is ``usable``. Runs a job (the number
+    of queries)."""
     blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    shards = index.select("dim", "shard").distinct().toDF("of_dim", "in_shard")
-    asked = (queries.distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-             .join(sized_broadcast(shards), F.col("dim") == F.col("of_dim"))
-             .select("vec_id", "vector", "of_dim", "in_shard", "block"))
-    points = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                            F.lit(blocks - 1).cast("long"))))
-    def run(own: pd.DataFrame, asked_: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        if len(own) and len(asked_):
-            own = own.sort_values("point").reset_index(drop=True)
-            raw, x = unit(own["vector"])
-            to = np.full((len(own), DEGREE), -1, np.int32)
-            for i, near in enumerate(own["neighbours"]):
-                to[i, :len(near)] = near
-            graph = Graph(x, to, int(np.flatnonzero(own["entry"])[0]))
-            ask, q = unit(asked_["vector"])
-            norm = np.sqrt((raw * raw).sum(axis=1))
-            for at in range(0, len(q), BATCH):
-                ids, _ = graph.search(q[at:at + BATCH], max(beam, k + 1))
-                for row, i in enumerate(range(at, min(at + BATCH, len(q)))):
-                    near = ids[row][ids[row] >= 0]
-                    scores = (raw[near] * ask[i]).sum(axis=1) / (
-                        norm[near] * np.sqrt((ask[i] * ask[i]).sum()))
-                    me = int(asked_["vec_id"].iat[i])
-                    best = sorted((-s, int(v)) for s, p in zip(scores.tolist(), near)
-                                  for v in own["members"].iat[p] if v != me)[:k]
-                    out["query_id"] += [me] * len(best)
-                    out["vec_id"] += [v for _, v in best]
-                    out["score"] += [-s for s, _ in best]
-        return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64",
-                                         "score": "float64"})
-
-    found = points.groupBy("dim", "shard", "block").cogroup(
-        asked.groupBy("of_dim", "in_shard", "block")).applyInPandas(run, FOUND)
+    shards = index.select("dim", "shard").distinct().toDF("of_dim", "shard")
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    none = F.lit(None)
+    asked = (queries.distinct().join(sized_broadcast(shards), F.col("dim") == F.col("of_dim"))
+             .select("dim", "shard", block.alias("block"), F.lit(1).alias("kind"), "vec_id", "vector",
+                     none.cast("int").alias("point"), none.cast(f"array<{MEMBER}>").alias("members"),
+                     none.cast("array<int>").alias("neighbours"), none.cast("boolean").alias("entry")))
+    points = index.select(
+        "dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        F.lit(0).alias("kind"), none.cast("long").alias("vec_id"), none.cast("array<double>").alias("vector"),
+        "point", "members", "neighbours", "entry")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, points_, shard, ids, vectors = None, [], None, [], []
+
+        def answers() -> pa.RecordBatch:
+            rows = list(shard.nearest(ids, vectors, k, beam))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in
+                 enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                for row in batch.slice(at, BATCH).to_pylist():
+                    place = row["dim"], row["shard"], row["block"]
+                    if place != key:
+                        if ids:
+                            yield answers()
+                        key, points_, shard, ids, vectors = place, [], None, [], []
+                    if row["kind"] == 0:
+                        points_.append(row)
+                        continue
+                    if shard is None:
+                        shard, points_ = _Shard(points_), []
+                    ids.append(row["vec_id"])
+                    vectors.append(row["vector"])
+                    if len(ids) == BATCH:
+                        yield answers()
+                        ids, vectors = [], []
+        if ids:
+            yield answers()
+
+    found = (points.union(asked).repartition("dim", "shard", "block")
+             .sortWithinPartitions("dim", "shard", "block", "kind", "vec_id").mapInArrow(run, FOUND))
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
