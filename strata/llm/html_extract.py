@@ -49,10 +49,12 @@ INLINE = frozenset(
     "s samp small span strike strong sub sup time tt u var wbr img".split())
 CONTAINERS = frozenset("article main section div td body center".split())
 GOOD_TAGS = frozenset("article main".split())
-#: Subtrees without main text.
+#: Subtrees that never hold text.
 DROPPED = frozenset(
-    "script style noscript template svg math iframe object canvas audio video head title nav footer "
-    "aside form button select option textarea input dialog menu".split())
+    "script style noscript template svg math iframe object canvas audio video head title "
+    "button select option textarea input".split())
+#: Subtrees without main text, unless they hold most of the page's.
+ASIDE = frozenset("nav footer aside form dialog menu header".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar "
                           "dialog alert alertdialog".split())
 DROPPED_WORDS = frozenset(
@@ -72,6 +74,9 @@ FRAME_WORDS = frozenset(
     "label icon icons media first second third primary secondary global mobile desktop small large big "
     "fixed sticky to for on and the more your our user users reader thread count meta info message "
     "policy email mail facebook twitter google image images img video print js".split())
+#: Words that mark a name whatever else it says, and words that do with a frame word.
+STRONG_WORDS = frozenset("comments commentlist disqus ad ads advert adverts advertisement adsense sponsored".split())
+BANNER_WORDS = frozenset("cookie cookies consent gdpr newsletter".split())
 GOOD_WORDS = frozenset("article content post story entry main text body".split())
 #: Blocks that make their parent part of the article.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
@@ -98,14 +103,14 @@ class Node:
     def _boilerplate(self, attrs: dict[str, str]) -> bool:
         if self.tag in DROPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
-        if self.tag == "header" and not self.in_article:
+        if "display:none" in attrs.get("style", "").replace(" ", "").lower() and self.tag not in ("html", "body"):
             return True
         if self.tag in GOOD_TAGS and not self.in_article or self.tag in ("html", "body"):
             return False
-        if attrs.get("role", "").lower() in DROPPED_ROLES:
-            return True
-        if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-            return True
+        if self.tag in ASIDE and not (self.tag == "header" and self.in_article) \
+                or attrs.get("role", "").lower() in DROPPED_ROLES:
+            self.suspect = True
+            return False
         if self.words and not DROPPED_WORDS.isdisjoint(self.words):
             self.suspect = any(map(_marks_boilerplate, f"{attrs.get('class', '')} {attrs.get('id', '')}".split()))
         return False
@@ -127,9 +132,35 @@ def _marks_boilerplate(name: str) -> bool:
     """Whether one class or id says that its element is no main text."""
     words = _words(name)
     marked = [w in DROPPED_WORDS and (i == 0 or words[i - 1] not in STATES) for i, w in enumerate(words)]
+    said = {w for w, m in zip(words, marked) if m}
+    if said & STRONG_WORDS or said & BANNER_WORDS and not FRAME_WORDS.isdisjoint(words):
+        return True
     return any(marked) and all(m or w in FRAME_WORDS for m, w in zip(marked, words))
 
 
+def _titles(header: Node) -> bool:
+    """Whether a header outside ``article`` titles the container it stands in: it
+    has a heading, mostly unlinked text and no menu, and the container has other
+    blocks of text."""
+    up = header.parent
+    if up is None or up.tag in ("", "html", "body"):
+        return False
+    headed, pending = False, [header]
+    while pending:
+        node = pending.pop()
+        if node.tag in ("nav", "ul", "ol", "form"):
+            return False
+        headed = headed or node.tag in PROSE and node.tag[0] == "h"
+        pending.extend(p for p in node.parts if p.__class__ is Node)
+    if not headed:
+        return False
+    size = linked = 0
+    for node in elements(header):
+        n, in_links = _block_size(node) if node.tag not in INLINE else (0, 0)
+        size, linked = size + n, linked + in_links
+    return size > 2 * linked and _own_prose(up)
+
+
 def _unlinked(root: Node) -> int:
     """Characters of unlinked text, of suspect subtrees too."""
     size, pending = 0, [root]
@@ -214,6 +245,9 @@ def parse(html: str) -> Node:
         kept = {id(n) for n in large if not _article_apart(tree.root, n)}
         for node in tree.suspects:
             node.dropped = id(node) not in kept
+        for node in tree.suspects:
+            if node.dropped and node.tag == "header" and _titles(node):
+                node.dropped = node.suspect = False
     return tree.root
 
 
@@ -269,6 +303,9 @@ def whole(node: Node) -> Node:
     best = above[0] if above else node
     for child, up in zip(above, above[1:]):
         if up.tag in ("body", "html"):
+            # a title or a lead directly in the body, beside the container
+            if up.tag == "body" and _own_prose(up):
+                best = up
             break
         alike = any(p is not child and p.__class__ is Node and p.label == child.label for p in up.parts)
         if alike or any(w in GOOD_WORDS for w in up.words) or _own_prose(up):
