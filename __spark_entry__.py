@@ -44,6 +44,7 @@ from strata.plans import (
 from strata.session import checkpoint_dir, scratch_path
 from strata.sources import (
     DriverTables,
+    audit,
     ensure_database,
     ingest_dictionary,
     ingest_films,
@@ -165,17 +166,18 @@ def q_top_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts observed by the writes: raw and clean in one job, then silver and
-    trend. The ranking has silver's rows, so nothing is ranked to count it."""
+    """Counts observed by the writes: raw and clean in one job, then silver,
+    ranking and trend, each by its own."""
     t = _tables(spark, sf_dir)
-    raw, cleaned, resolved, trend = (Observation() for _ in range(4))
+    raw, cleaned, resolved, ranked, trend = (Observation() for _ in range(5))
     one = F.count(F.lit(1)).alias("rows")
     kept = _stored(spark, clean(t.raw_catalog().observe(raw, one)).observe(cleaned, one), "clean")
     films = _stored(spark, resolve_codes(kept, t.code_dictionary()).observe(resolved, one), "silver")
+    _stored(spark, gold_ranking(films).observe(ranked, one), "ranking")
     _stored(spark, gold_trend(films).observe(trend, one), "trend")
     return observed_counts(spark, {
         "raw": raw.get["rows"], "clean": cleaned.get["rows"], "silver": resolved.get["rows"],
-        "gold_ranking": resolved.get["rows"], "gold_trend": trend.get["rows"]})
+        "gold_ranking": ranked.get["rows"], "gold_trend": trend.get["rows"]})
 
 
 def _fresh_database(spark: SparkSession) -> tuple[str, str]:
@@ -220,6 +222,16 @@ def q_layered_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layered(spark, sf_dir, C.RANKING_TABLE)
 
 
+def q_layered_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table of a full run, as its release keeps them."""
+    t = _tables(spark, sf_dir)
+    database, location = _fresh_database(spark)
+    run_layers(spark, t.film_pages(), t.dictionary_pages(), database=database, location=location)
+    kept = _stored(spark, audit(spark, database).select("table", "rows"), "audit")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return kept
+
+
 def q_profile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile as SQL text over a stored catalogue table."""
     t = _tables(spark, sf_dir)
@@ -234,25 +246,34 @@ def q_profile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged_pages(t: DriverTables) -> DataFrame:
-    """The film pages, with elements of null id and unreadable numbers, and
-    pages cut off in the middle."""
+    """The film pages, some cut off, without a list of results or no object,
+    and some with elements of null id, without a readable number, text or list,
+    or that are no objects."""
     page = F.expr("cast(get_json_object(body, '$.page') as long)")
     body = (F.when(page % 7 == 0, F.substring("body", 1, 40))
+            .when(page % 11 == 0, F.regexp_replace("body", r'"results":\[.*\]', '"results":{"a":1}'))
+            .when(page % 13 == 0, F.concat(F.lit("["), "body", F.lit("]")))
             .when(page % 5 == 0, F.regexp_replace("body", r'"id":(\d*0),', '"id":null,'))
             .when(page % 3 == 0, F.regexp_replace("body", r'"vote_count":(\d*1)\b', '"vote_count":"n/a"'))
+            .when(page % 17 == 0, F.regexp_replace("body", r'"id":(\d*2),', '"id":{"n":$1},'))
+            .when(page % 2 == 0, F.regexp_replace("body", r'"genre_ids":\[(\d*4),', '"genre_ids":[{"n":$1},'))
+            .when(page % 19 == 0, F.regexp_replace("body", r'"results":\[', '"results":[null,5,'))
             .otherwise(F.col("body")))
     return t.film_pages().select(body.alias("body"))
 
 
 def q_quarantine_films(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Films that load from damaged pages, and what is put aside by reason."""
+    """Films that load from damaged pages, and what is put aside by reason:
+    pages that cannot be read, and elements of pages that can."""
     t = _tables(spark, sf_dir)
     database, location = _fresh_database(spark)
     ensure_database(spark, database, location)
     films_job(spark, _damaged_pages(t), database, bad_pages="quarantine")
     good, bad = _read_and_drop(spark, database, C.RAW_FILMS_TABLE, C.RAW_FILMS_TABLE + "_quarantine")
+    none = F.lit(None).cast("string")
     return (good.select(F.lit("loaded").alias("outcome"), C.FILM_ID)
-            .union(bad.select("reason", F.lit(None).cast("string")))
+            .union(bad.where("reason is not null").select("reason", none))
+            .union(bad.select(F.explode("faults").alias("fault")).select("fault.reason", none))
             .groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"),
                                     F.countDistinct(C.FILM_ID).alias("films")))
 
@@ -283,6 +304,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layered_raw": q_layered_raw,
     "layered_silver": q_layered_silver,
     "layered_ranking": q_layered_ranking,
+    "layered_audit": q_layered_audit,
 }
 
 
@@ -444,30 +466,52 @@ ORDER BY ranking, titulo NULLS LAST, titulo_original NULLS LAST, anio_estreno NU
          generos NULLS LAST, popularidad NULLS LAST, valoracion_media NULLS LAST,
          num_votos NULLS LAST
 LIMIT 10""",
-    "stage_counts": _with(*_SILVER_CHAIN, _TREND) + """
+    "stage_counts": _with(*_SILVER_CHAIN, _RANKING, _TREND) + """
 SELECT 'raw' AS stage, count(*) AS rows FROM raw_catalog
 UNION ALL SELECT 'clean', count(*) FROM clean_catalog
 UNION ALL SELECT 'silver', count(*) FROM silver
-UNION ALL SELECT 'gold_ranking', count(*) FROM silver
+UNION ALL SELECT 'gold_ranking', count(*) FROM ranking
 UNION ALL SELECT 'gold_trend', count(*) FROM trend""",
+    "layered_audit": _with(*_LAYERED, _RANKING, _TREND) + """
+SELECT 'peliculas_italianas_raw' AS "table", count(*) AS rows FROM raw_catalog
+UNION ALL SELECT 'generos_raw', count(*) FROM code_dict
+UNION ALL SELECT 'peliculas_italianas_silver', count(*) FROM silver
+UNION ALL SELECT 'gold_ranking_popularidad', count(*) FROM ranking
+UNION ALL SELECT 'gold_evolucion_por_anio', count(*) FROM trend""",
     "layered_run": _with(*_LAYERED, _TREND) + "SELECT * FROM trend",
     "layered_raw": _with(_INGESTED_RAW) + "SELECT * FROM raw_catalog",
     "layered_silver": _with(*_LAYERED) + "SELECT * FROM silver",
     "layered_ranking": _with(*_LAYERED, _RANKING) + "SELECT * FROM ranking",
     "quarantine_films": """
 WITH films AS (
-  SELECT o_orderkey AS id, o_orderkey // 20 + 1 AS page, o_orderkey % 100 AS votes FROM orders),
+  SELECT o_orderkey AS id, o_orderkey // 20 + 1 AS page, o_orderkey % 100 AS votes,
+         o_custkey % 25 AS code, o_orderkey % 31 = 0 OR o_orderkey % 29 = 0 AS no_codes
+  FROM orders),
 sorted AS (
-  SELECT id, page, CASE WHEN page % 7 = 0 THEN 'page is not valid JSON'
-              WHEN page % 5 = 0 AND id % 10 = 0 THEN 'element with a null id'
-              WHEN page % 7 <> 0 AND page % 5 <> 0 AND page % 3 = 0 AND votes % 10 = 1
-                THEN 'element with an unreadable number'
-              ELSE 'loaded' END AS outcome
+  SELECT id, page,
+         CASE WHEN page % 7 = 0 THEN 'page is not valid JSON'
+              WHEN page % 11 = 0 THEN 'results field is not a list'
+              WHEN page % 13 = 0 THEN 'page is not a JSON object'
+              WHEN page % 5 = 0 THEN
+                CASE WHEN id % 10 = 0 THEN 'element with a null id' ELSE 'loaded' END
+              WHEN page % 3 = 0 THEN
+                CASE WHEN votes % 10 = 1 THEN 'element with an unreadable number' ELSE 'loaded' END
+              WHEN page % 17 = 0 THEN
+                CASE WHEN id % 10 = 2 THEN 'element with an unreadable text' ELSE 'loaded' END
+              WHEN page % 2 = 0 THEN
+                CASE WHEN code % 10 = 4 AND NOT no_codes THEN 'element with an unreadable list'
+                     ELSE 'loaded' END
+              ELSE 'loaded' END AS outcome,
+         page % 7 <> 0 AND page % 11 <> 0 AND page % 13 <> 0 AND page % 5 <> 0 AND page % 3 <> 0
+           AND page % 17 <> 0 AND page % 2 <> 0 AND page % 19 = 0 AS padded
   FROM films)
-SELECT outcome, CASE WHEN outcome = 'page is not valid JSON' THEN count(DISTINCT page)
-                     ELSE count(*) END AS rows,
+SELECT outcome, CASE WHEN outcome LIKE 'page %' OR outcome LIKE 'results %'
+                     THEN count(DISTINCT page) ELSE count(*) END AS rows,
        CASE WHEN outcome = 'loaded' THEN count(DISTINCT id) ELSE 0 END AS films
-FROM sorted GROUP BY outcome""",
+FROM sorted GROUP BY outcome
+UNION ALL
+SELECT 'element is not an object', 2 * count(DISTINCT page), 0
+FROM sorted WHERE padded HAVING count(*) > 0""",
 }
 _ORACLE["sorted_ranking"] = _ORACLE["gold_ranking"]
 _ORACLE["sorted_trend"] = _ORACLE["gold_trend_by_year"]

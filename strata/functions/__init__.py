@@ -1,23 +1,26 @@
 """Column-level helpers (built-in Spark expressions only)."""
 
-from strata.functions.columns import (
-    field_present,
-    lenient_date,
-    list_field,
-    list_to_text,
-    number_field,
-    required,
-    text_field,
-    year_prefix,
+from strata.functions.columns import lenient_date, list_to_text, required, year_prefix
+from strata.functions.fields import (
+    Reading,
+    element_fault,
+    page_fault,
+    read_field,
+    read_list,
+    read_number,
+    read_text,
 )
 
 __all__ = [
-    "field_present",
+    "Reading",
+    "element_fault",
     "lenient_date",
-    "list_field",
     "list_to_text",
-    "number_field",
+    "page_fault",
+    "read_field",
+    "read_list",
+    "read_number",
+    "read_text",
     "required",
-    "text_field",
     "year_prefix",
 ]

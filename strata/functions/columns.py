@@ -29,33 +29,6 @@ def list_to_text(values: Column | str, separator: str = ",") -> Column:
     return F.concat_ws(separator, _col(values).cast("array<string>"))
 
 
-def field_present(element: Column | str, field: str) -> Column:
-    """True when a VARIANT object has the field, even if its value is JSON null."""
-    return F.variant_get(_col(element), f"$.{field}", "variant").isNotNull()
-
-
-def text_field(element: Column | str, field: str, default: str = "") -> Column:
-    """String field of a VARIANT object: the default when the field is missing,
-    null when it is present with a JSON null."""
-    element = _col(element)
-    return F.when(field_present(element, field),
-                  F.variant_get(element, f"$.{field}", "string")).otherwise(F.lit(default))
-
-
-def number_field(element: Column | str, field: str, spark_type: str, default) -> Column:
-    """Numeric field of a VARIANT object; the default when missing or JSON null.
-    A value that cannot be read as a number fails the job."""
-    element = _col(element)
-    return F.coalesce(F.variant_get(element, f"$.{field}", spark_type),
-                      F.lit(default).cast(spark_type))
-
-
-def list_field(element: Column | str, field: str, separator: str = ",") -> Column:
-    """Array field of a VARIANT object as delimited text; '' when missing or null."""
-    return list_to_text(
-        F.variant_get(_col(element), f"$.{field}", "array<string>"), separator)
-
-
 def required(value: Column, message: str) -> Column:
     """The value, or a job failure with ``message`` when it is null."""
     return F.when(value.isNull(), F.raise_error(F.lit(message))).otherwise(value)

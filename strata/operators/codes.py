@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.operators.joins import BROADCAST_ROWS, sized_broadcast
+from strata.operators.joins import BROADCAST_ROWS, sized_broadcast, stored
 
 
 def resolved_texts(
@@ -74,7 +74,8 @@ def resolve_codes(
     1. identical rows (key columns and code list) are counted with a map-side
        combine, so a group of copies holding a third of all rows leaves each
        task as one row;
-    2. the distinct code texts are resolved once (:func:`resolved_texts`);
+    2. the distinct code texts are resolved once (:func:`resolved_texts`), written
+       and measured in one job;
     3. their names join back on the text: broadcast when few, else a shuffle
        join that Spark can split at a hot text;
     4. the regroup on ``key_cols`` gathers one entry per distinct code list of
@@ -82,9 +83,9 @@ def resolve_codes(
     """
     distinct = (rows.filter(F.col(codes_col).isNotNull())
                 .groupBy(*key_cols, codes_col).agg(F.count(F.lit(1)).alias("_copies")))
-    names = resolved_texts(rows, dictionary, codes_col, code_col, name_col, code_separator,
-                           broadcast_rows)
-    joined = distinct.join(sized_broadcast(names, broadcast_rows), on=codes_col, how="left")
+    names = stored(resolved_texts(rows, dictionary, codes_col, code_col, name_col, code_separator,
+                                  broadcast_rows), "resolved-texts")
+    joined = distinct.join(names.broadcast(broadcast_rows), on=codes_col, how="left")
     entry = F.struct(F.col("_parts").alias("parts"), F.col("_copies").alias("copies"))
     grouped = joined.groupBy(*key_cols).agg(F.collect_list(entry).alias("_entries"))
     parts = F.flatten(F.transform("_entries", lambda e: F.transform(
@@ -116,9 +117,9 @@ def resolve_codes_by_position(
     shuffled, and their names join back on the text (broadcast when few, else
     a shuffle join). The same at every list length and dictionary size.
     """
-    names = resolved_texts(rows, dictionary, codes_col, code_col, name_col, code_separator,
-                           broadcast_rows)
+    names = stored(resolved_texts(rows, dictionary, codes_col, code_col, name_col, code_separator,
+                                  broadcast_rows), "resolved-texts")
     joined = rows.filter(F.col(codes_col).isNotNull()).select(*keep_cols, codes_col).join(
-        sized_broadcast(names, broadcast_rows), on=codes_col, how="left")
+        names.broadcast(broadcast_rows), on=codes_col, how="left")
     text = F.concat_ws(separator, F.transform("_parts", lambda p: p["name"]))
     return joined.select(*keep_cols, text.alias(out_col))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+from strata.session import scratch_path
+
 # Default bounds for a broadcast side: a few hundred thousand narrow rows,
 # at most 64 MB of column data, per executor.
 BROADCAST_ROWS = 200_000
@@ -63,3 +67,26 @@ def sized_broadcast(
     unchanged, so the join is planned as a shuffle join, where AQE splits
     skewed partitions at run time."""
     return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+
+
+class Stored(NamedTuple):
+    """A written intermediate result with its size, counted by the write."""
+
+    df: DataFrame
+    rows: int
+    bytes: int
+
+    def broadcast(self, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+        """:func:`sized_broadcast` without a job of its own."""
+        return F.broadcast(self.df) if self.rows <= max_rows and self.bytes <= max_bytes else self.df
+
+
+def stored(df: DataFrame, name: str) -> Stored:
+    """Write ``df`` to a new folder below the shared checkpoint folder and read
+    it back, measured in the same job. So a side whose size decides a plan is
+    computed once, and not again for each check and for the join."""
+    seen, path = Observation(), scratch_path(df.sparkSession, name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows"),
+               F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")).write.parquet(path)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path),
+                  int(seen.get["rows"]), int(seen.get["bytes"]))

@@ -7,15 +7,15 @@ task. :func:`global_rank` computes the same numbers without that limit:
 
 1. count rows per distinct value (a map-side combine, so a value shared by a
    third of all rows becomes one row), range-partition the counts by value,
-   descending, and checkpoint them with their partition number to the shared
-   checkpoint folder;
+   descending, and write them with their partition number to the shared
+   checkpoint folder, measured by the same job;
 2. a running sum inside each range gives the rows before a value there, and
    the range totals (one row per range) the rows in earlier ranges;
-3. the ranked values go back to the rows on the value (null-safe): values
-   with more than half an even partition share by broadcast of their ranks
-   (at most twice as many as there are partitions), the others by a shuffle
-   join that no hot value takes part in. When all distinct values are within
-   the broadcast bound they all go by broadcast.
+3. the ranked values go back to the rows on the value (null-safe). When all
+   distinct values are within the broadcast bounds (rows and bytes) they go by
+   broadcast; else values with more than half an even partition share do (at most
+   twice as many as there are partitions, and only within the byte bound), the
+   others by a shuffle join that no hot value takes part in.
 
 Any orderable type ranks. Order follows Spark's ``desc``: NaN first, nulls
 last; NaN equals NaN. Ranks are ``bigint``.
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata import catalogue as C
-from strata.session import checkpoint_dir
+from strata.operators.joins import BROADCAST_BYTES, fits, stored
 
 VALUE_BROADCAST_ROWS = 1_000_000   # ranked values (one value and one rank each)
 
@@ -53,21 +53,21 @@ def global_rank(
     out_col: str = C.RANK,
     ranges: int | None = None,
     broadcast_rows: int = VALUE_BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` with the competition rank of ``order_col`` descending.
 
-    Runs jobs (the checkpoint of the counts and their totals) and reads ``df``
-    again for the join back, twice when there are more distinct values than
-    ``broadcast_rows``: give it a stored table where computing it is dear.
-    ``ranges`` (default: the shuffle partitions) only shapes the work.
+    Runs a job (it writes the counts) and reads ``df`` again for the join back,
+    twice when there are more distinct values than ``broadcast_rows`` or more
+    bytes of them than ``broadcast_bytes``: give it a stored table where
+    computing it is dear. ``ranges`` (default: the shuffle partitions) only
+    shapes the work.
     """
-    checkpoint_dir(df.sparkSession)
     value = F.col(order_col)
     k = max(2, ranges or _default_ranges(df))
-    counts = (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
-              .repartitionByRange(k, value.desc())
-              .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
-    stats = counts.agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("_n").alias("rows")).first()
+    counted = (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
+               .repartitionByRange(k, value.desc()).withColumn("_p", F.spark_partition_id()))
+    counts, distinct_values, value_bytes = stored(counted, "rank-counts")
 
     before = (Window.partitionBy("_p").orderBy(value.desc())
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -81,10 +81,13 @@ def global_rank(
     def back(rows: DataFrame, ranks: DataFrame, how: str = "inner") -> DataFrame:
         return rows.join(ranks, rows[order_col].eqNullSafe(ranks["_v"]), how)
 
-    if stats["distinct_values"] <= broadcast_rows:
+    if distinct_values <= broadcast_rows and value_bytes <= broadcast_bytes:
         return back(df, F.broadcast(ranked.drop("_n"))).drop("_v")
-    hot_limit = max(1, stats["rows"] // (2 * k))            # at most 2k values exceed it
+    rows = counts.agg(F.sum("_n")).first()[0]
+    hot_limit = max(1, rows // (2 * k))                     # at most 2k values exceed it
     hot = ranked.where(F.col("_n") > hot_limit).drop("_n")
+    if not fits(hot.select("_v"), 2 * k, broadcast_bytes):
+        return back(df, ranked.drop("_n")).drop("_v")       # large values: AQE splits hot partitions
     cold = ranked.where(F.col("_n") <= hot_limit).drop("_n")
     rest = back(df, F.broadcast(hot.select("_v")), "left_anti")
     return back(df, F.broadcast(hot)).drop("_v").union(back(rest, cold).drop("_v"))

@@ -1,13 +1,16 @@
 """The catalogue layers: raw -> silver -> gold.
 
 Each layer is a plain function over DataFrames; :func:`run_layers` writes
-them in order, each layer reading the table the previous one wrote. Row
-counts are observed inside the writing jobs (no extra counting passes). A job
-that fails leaves its old tables as they were (see ``sources.tables``).
+them in order, each layer reading the version the previous one wrote, and
+publishes all tables as one release (``sources.releases``). Row counts are
+observed inside the writing jobs (no extra counting passes). A run that fails
+leaves its old tables as they were.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,14 +29,13 @@ from strata.operators import (
 )
 from strata.schemas import RAW_FILMS
 from strata.sources import (
+    FAULTS,
+    Draft,
     ensure_database,
     ingest_dictionary,
     ingest_films,
-    new_version,
-    point_table,
     qualified,
     sort_films,
-    write_table,
 )
 
 
@@ -109,56 +111,83 @@ class LayerReport:
 
 # ---------------------------------------------------------------------------
 # The four jobs. Each reads its inputs (landed pages or the previous layer's
-# tables) and overwrites its own tables; the row counts come back observed.
+# tables) and overwrites its own tables; the row counts come back observed. A job
+# publishes what it wrote, unless it is given the draft of a longer run.
 # ---------------------------------------------------------------------------
 
+@contextmanager
+def _run(spark: SparkSession, database: str, draft: Draft | None) -> Iterator[Draft]:
+    if draft is not None:
+        yield draft
+        return
+    with Draft(spark, database) as own:
+        yield own
+        own.publish()
+
+
+def _check_bad_pages(bad_pages: str, fmt: str) -> None:
+    if bad_pages not in ("fail", "quarantine"):
+        raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
+    if bad_pages == "quarantine" and fmt not in ("parquet", "orc", "json"):
+        raise ValueError(f"a quarantine is one write of two folders: parquet, orc or json, not {fmt!r}")
+
+
 def films_job(
     spark: SparkSession,
     film_pages: DataFrame,
     database: str = C.DATABASE,
     fmt: str = "parquet",
     bad_pages: str = "fail",
+    draft: Draft | None = None,
 ) -> LayerReport:
     """Landed result pages -> raw film table, in one parse.
 
-    ``bad_pages="fail"`` fails when a page is not valid JSON or an element has
-    a null id or an unreadable number; the old table stays. ``"quarantine"``
-    puts such pages and elements, with their reason and page, into
-    ``<raw table>_quarantine`` and loads the rest: one job writes both, as two
-    folders that the two tables then point at.
+    ``bad_pages="fail"`` fails when a page or an element cannot be read (see
+    ``ingest_films``); the old table stays. ``"quarantine"`` loads all elements
+    that can be read; each page with anything else stands once in ``<raw
+    table>_quarantine``, with why the page cannot be read or which of its
+    elements (index, field, reason). One job writes both, as two folders that
+    the two tables then point at. ``quarantined`` counts pages and elements.
     """
+    _check_bad_pages(bad_pages, fmt)
     report = LayerReport(database)
-    name = report.table(C.RAW_FILMS_TABLE)
-    if bad_pages == "fail":
-        report.rows[C.RAW_FILMS_TABLE] = write_table(ingest_films(film_pages), name, fmt)
-        return report
-    if bad_pages != "quarantine":
-        raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
-    bad = F.col("reason").isNotNull()
-    rows = sort_films(film_pages).withColumn("bad", bad)
-    counted = Observation()
-    location = new_version(spark, name)
-    (rows.observe(counted, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
-     .write.partitionBy("bad").parquet(location))
-    raw = StructType([f for f in RAW_FILMS])
-    left = StructType([StructField("reason", StringType()), StructField("body", StringType())])
-    point_table(spark, name, f"{location}/bad=false", raw, "parquet")
-    point_table(spark, f"{name}_quarantine", f"{location}/bad=true", left, "parquet")
-    report.rows[C.RAW_FILMS_TABLE] = int(counted.get["good"])
-    report.quarantined = int(counted.get["bad"])
+    with _run(spark, database, draft) as run:
+        if bad_pages == "fail":
+            report.rows[C.RAW_FILMS_TABLE] = run.write(ingest_films(film_pages), C.RAW_FILMS_TABLE, fmt)
+            return report
+        rows, bad = sort_films(film_pages), F.col("bad")
+        whole = F.when(F.col("reason").isNotNull(), 1).otherwise(F.size("faults"))
+        counted, location = Observation(), run.location(C.RAW_FILMS_TABLE)
+        (rows.observe(counted, F.count_if(~bad).alias("good"), F.count_if(bad).alias("pages"),
+                      F.coalesce(F.sum(F.when(bad, whole)), F.lit(0)).alias("faults"))
+         .write.format(fmt).partitionBy("bad").save(location))
+        found = counted.get
+        raw = StructType([f for f in RAW_FILMS])
+        left = StructType([StructField("reason", StringType()), StructField("body", StringType()),
+                           StructField("faults", _parse_type(FAULTS))])
+        run.put(C.RAW_FILMS_TABLE, f"{location}/bad=false", raw, found["good"], fmt)
+        run.put(f"{C.RAW_FILMS_TABLE}_quarantine", f"{location}/bad=true", left, found["pages"], fmt)
+        report.rows[C.RAW_FILMS_TABLE] = int(found["good"])
+        report.quarantined = int(found["faults"])
     return report
 
 
+def _parse_type(ddl: str):
+    return StructType.fromDDL(f"x {ddl}")["x"].dataType
+
+
 def dictionary_job(
     spark: SparkSession,
     dictionary_pages: DataFrame,
     database: str = C.DATABASE,
     fmt: str = "parquet",
+    draft: Draft | None = None,
 ) -> LayerReport:
     """Landed dictionary pages -> raw code table."""
     report = LayerReport(database)
-    report.rows[C.RAW_CODES_TABLE] = write_table(
-        ingest_dictionary(dictionary_pages), report.table(C.RAW_CODES_TABLE), fmt)
+    with _run(spark, database, draft) as run:
+        report.rows[C.RAW_CODES_TABLE] = run.write(
+            ingest_dictionary(dictionary_pages), C.RAW_CODES_TABLE, fmt)
     return report
 
 
@@ -167,13 +196,13 @@ def silver_job(
     database: str = C.DATABASE,
     fmt: str = "parquet",
     unique_rows: bool = False,
+    draft: Draft | None = None,
 ) -> LayerReport:
     """Raw film and code tables -> silver table (see :func:`silver`)."""
     report = LayerReport(database)
-    raw = spark.table(report.table(C.RAW_FILMS_TABLE))
-    codes = spark.table(report.table(C.RAW_CODES_TABLE))
-    report.rows[C.SILVER_TABLE] = write_table(
-        silver(raw, codes, unique_rows), report.table(C.SILVER_TABLE), fmt)
+    with _run(spark, database, draft) as run:
+        raw, codes = run.read(C.RAW_FILMS_TABLE), run.read(C.RAW_CODES_TABLE)
+        report.rows[C.SILVER_TABLE] = run.write(silver(raw, codes, unique_rows), C.SILVER_TABLE, fmt)
     return report
 
 
@@ -181,12 +210,14 @@ def gold_job(
     spark: SparkSession,
     database: str = C.DATABASE,
     fmt: str = "parquet",
+    draft: Draft | None = None,
 ) -> LayerReport:
-    """Silver table -> ranking and trend tables."""
+    """Silver table -> ranking and trend tables, published together."""
     report = LayerReport(database)
-    stored = spark.table(report.table(C.SILVER_TABLE))
-    report.rows[C.RANKING_TABLE] = write_table(gold_ranking(stored), report.table(C.RANKING_TABLE), fmt)
-    report.rows[C.TREND_TABLE] = write_table(gold_trend(stored), report.table(C.TREND_TABLE), fmt)
+    with _run(spark, database, draft) as run:
+        stored = run.read(C.SILVER_TABLE)
+        report.rows[C.RANKING_TABLE] = run.write(gold_ranking(stored), C.RANKING_TABLE, fmt)
+        report.rows[C.TREND_TABLE] = run.write(gold_trend(stored), C.TREND_TABLE, fmt)
     return report
 
 
@@ -200,14 +231,16 @@ def run_layers(
     bad_pages: str = "fail",
     unique_rows: bool = False,
 ) -> LayerReport:
-    """The four jobs in order: five tables, each overwritten, each layer
-    reading the tables of the one before. See :func:`films_job` for
-    ``bad_pages``."""
-    if bad_pages not in ("fail", "quarantine"):
-        raise ValueError(f"bad_pages must be 'fail' or 'quarantine', not {bad_pages!r}")
+    """The four jobs in order: five tables, each overwritten, each layer reading
+    the versions of the one before. All of them become visible as one release
+    when the last is written; a run that fails on the way changes nothing. See
+    :func:`films_job` for ``bad_pages``."""
+    _check_bad_pages(bad_pages, fmt)
     ensure_database(spark, database, location)
-    report = films_job(spark, film_pages, database, fmt, bad_pages)
-    report.rows.update(dictionary_job(spark, dictionary_pages, database, fmt).rows)
-    report.rows.update(silver_job(spark, database, fmt, unique_rows).rows)
-    report.rows.update(gold_job(spark, database, fmt).rows)
+    with Draft(spark, database) as run:
+        report = films_job(spark, film_pages, database, fmt, bad_pages, run)
+        report.rows.update(dictionary_job(spark, dictionary_pages, database, fmt, run).rows)
+        report.rows.update(silver_job(spark, database, fmt, unique_rows, run).rows)
+        report.rows.update(gold_job(spark, database, fmt, run).rows)
+        run.publish()
     return report

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from strata import catalogue as C
 from strata.functions import (
-    list_field,
-    number_field,
+    element_fault,
+    page_fault,
+    read_field,
+    read_text,
     required,
-    text_field,
     year_prefix,
 )
 from strata.schemas import RAW_CODES, RAW_FILMS, conforming
@@ -39,44 +40,33 @@ def read_landed_pages(spark: SparkSession, path: str, whole_files: bool = False)
     return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "body")
 
 
-def split_bad_pages(pages: DataFrame, body: str = "body") -> PageSplit:
-    """Separate pages that are not valid JSON (quarantine) from the rest.
+def _parsed(pages: DataFrame, body: str, results_field: str) -> DataFrame:
+    """``body, doc, reason``: the page as VARIANT and why it cannot be read."""
+    doc = F.try_parse_json(F.col(body))
+    parsed = pages.select(F.col(body).alias("body"), doc.alias("doc"))
+    return parsed.withColumn("reason", page_fault(F.col("body"), F.col("doc"), results_field))
+
+
+def split_bad_pages(pages: DataFrame, body: str = "body",
+                    results_field: str = C.RESULTS_FIELD) -> PageSplit:
+    """Separate the pages that cannot be read as a whole (not JSON, not an
+    object, results that are no list) from the rest.
 
-    Valid JSON without a results list is *not* bad: it yields zero rows.
+    A page without a results list is *not* bad: it yields zero rows.
     """
-    flagged = pages.withColumn(
-        "_bad", F.col(body).isNotNull() & F.try_parse_json(F.col(body)).isNull())
+    doc = F.try_parse_json(F.col(body))
+    flagged = pages.withColumn("_bad", page_fault(F.col(body), doc, results_field).isNotNull())
     return PageSplit(
         good=flagged.filter(~F.col("_bad")).drop("_bad"),
         bad=flagged.filter(F.col("_bad")).drop("_bad"),
     )
 
 
-def _elements(pages: DataFrame, body: str, list_field_name: str, lenient: bool = False) -> DataFrame:
-    # parse_json fails the job on malformed text; with lenient=True such a
-    # page yields no rows (the quarantine path collects it separately).
-    doc = F.try_parse_json(F.col(body)) if lenient else F.parse_json(F.col(body))
-    items = F.variant_get(doc, f"$.{list_field_name}", "array<variant>")
-    return pages.select(F.explode(items).alias("_e"))
-
-
-def _field(element: Column, field: str, kind: str, default) -> Column:
-    if kind == "text":
-        return text_field(element, field, default)
-    if kind == "double":
-        return number_field(element, field, "double", default)
-    if kind == "int":
-        return number_field(element, field, "int", default)
-    if kind == "list":
-        return list_field(element, field, C.CODE_SEPARATOR)
-    raise ValueError(f"unknown field kind {kind!r}")
-
-
 def _projection(e: Column, fields, date_column: str, year_column: str) -> list[Column]:
     """The typed raw columns of a result element."""
     out = []
     for field, column, kind, default in fields:
-        value = _field(e, field, kind, default)
+        value = read_field(e, field, kind, default, C.CODE_SEPARATOR).value
         out.append(value.alias(column))
         if column == date_column:
             out.append(year_prefix(value).alias(year_column))
@@ -95,19 +85,76 @@ def ingest_films(
 ) -> DataFrame:
     """Result pages -> one typed raw row per result element.
 
-    A page without the results list gives no rows. The year is the
+    A page without the results field gives no rows. The year is the
     four-character prefix of the date text (null when empty or not a number).
-    A result element whose id is JSON null fails the job: the id is the one
-    mandatory column of the raw table. A page that is not valid JSON fails
-    the job, or with ``lenient=True`` gives no rows (see ``split_bad_pages``
-    for the pages themselves, ``sort_films`` for elements).
+    A page that cannot be read (see ``functions.fields.page_fault``) and an
+    element with a fault (``element_fault``) fail the job; with
+    ``lenient=True`` they give no row (:func:`faulty_pages` and
+    :func:`sort_films` keep them).
     """
-    elements = _elements(pages, body, results_field, lenient)
-    out = elements.select(*_projection(F.col("_e"), fields, date_column, year_column))
-    out = out.withColumn(id_column, required(F.col(id_column), "result element with a null id"))
+    e, doc = F.col("_e"), F.col("doc")
+    items = F.try_variant_get(doc, f"$.{results_field}", "array<variant>")
+    if not lenient:
+        items = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason"))).otherwise(items)
+    elements = _parsed(pages, body, results_field).select(F.explode(items).alias("_e"))
+    fault = element_fault(e, fields, id_column, C.CODE_SEPARATOR)
+    if lenient:
+        out = elements.where(fault.isNull()).select(*_projection(e, fields, date_column, year_column))
+    else:
+        checked = F.when(fault.isNotNull(), F.raise_error(F.concat_ws(
+            ": ", fault["reason"], fault["field"])))
+        out = elements.select(*[
+            (checked.otherwise(c) if name == id_column else c).alias(name)
+            for name, c in zip(_names(fields, date_column, year_column),
+                               _projection(e, fields, date_column, year_column))])
     return conforming(out, RAW_FILMS) if fields is C.PAGE_FIELDS else out
 
 
+def _names(fields, date_column: str, year_column: str) -> list[str]:
+    names = []
+    for _, column, _, _ in fields:
+        names += [column, year_column] if column == date_column else [column]
+    return names
+
+
+#: Where a page's bad elements stand (from 0), and why.
+FAULTS = "array<struct<index:int,field:string,reason:string>>"
+
+
+def _marked(pages: DataFrame, body: str, fields, results_field: str, id_column: str) -> DataFrame:
+    """``body, reason, marked``: each page with its elements and their faults."""
+    items = F.try_variant_get("doc", f"$.{results_field}", "array<variant>")
+    return _parsed(pages, body, results_field).select("body", "reason", F.transform(
+        items, lambda e, i: F.struct(e.alias("e"), i.alias("index"),
+                                     element_fault(e, fields, id_column, C.CODE_SEPARATOR).alias("fault")))
+        .alias("marked"))
+
+
+_ENTRY = f"struct<e:variant,report:struct<reason:string,body:string,faults:{FAULTS}>>"
+
+
+def _faults() -> Column:
+    bad = F.filter("marked", lambda m: m["fault"].isNotNull())
+    return F.coalesce(F.transform(bad, lambda m: F.struct(
+        m["index"].alias("index"), m["fault"]["field"].alias("field"),
+        m["fault"]["reason"].alias("reason"))), F.array().cast(FAULTS)).cast(FAULTS)
+
+
+def faulty_pages(
+    pages: DataFrame,
+    body: str = "body",
+    fields=C.PAGE_FIELDS,
+    results_field: str = C.RESULTS_FIELD,
+    id_column: str = C.FILM_ID,
+) -> DataFrame:
+    """``reason, body, faults``: each page that holds anything that cannot be
+    read, once: why the page as a whole (else null), or which of its elements
+    by their index, field and reason."""
+    marked = _marked(pages, body, fields, results_field, id_column)
+    return (marked.select("reason", "body", _faults().alias("faults"))
+            .where(F.col("reason").isNotNull() | (F.size("faults") > 0)))
+
+
 def sort_films(
     pages: DataFrame,
     body: str = "body",
@@ -117,42 +164,30 @@ def sort_films(
     date_column: str = C.RELEASE_DATE,
     year_column: str = C.RELEASE_YEAR,
 ) -> DataFrame:
-    """Every page and result element exactly once, sorted into good and bad in
-    one parse: the raw columns, ``reason`` (null for a good element) and
-    ``body`` (the bad page, or the page of a bad element).
-
-    Bad are a page that is not valid JSON, an element whose id is JSON null,
-    and an element with a number that cannot be read. Their raw columns are
-    null. Valid JSON without the results list gives no row at all.
+    """Good elements and bad pages from one parse: the raw columns, ``reason``,
+    ``body``, ``faults`` and ``bad``.
+
+    A good element is a row with ``bad`` false and the last three null. A page
+    with anything that cannot be read is one row with ``bad`` true and null raw
+    columns, as :func:`faulty_pages` gives it: its text is stored once, however
+    many of its elements are bad. The good elements of such a page still load.
+    A page without the results field gives no row at all.
     """
-    doc = F.try_parse_json(F.col(body))
-    items = F.try_variant_get(doc, f"$.{results_field}", "array<variant>")
-    broken = F.col(body).isNotNull() & doc.isNull()
-    # a broken page becomes one row without an element
-    rows = pages.select(F.col(body).alias("body"), broken.alias("_broken"), F.explode(
-        F.when(broken, F.array(F.lit(None).cast("variant"))).otherwise(items)).alias("_e"))
-    e = F.col("_e")
-    id_field = next(f for f, column, _, _ in fields if column == id_column)
-    no_id = F.variant_get(e, f"$.{id_field}", "variant").isNotNull() & F.try_variant_get(
-        e, f"$.{id_field}", "string").isNull()
-    unread = F.lit(False)
-    for field, _, kind, _ in fields:
-        if kind in ("double", "int"):
-            given = F.variant_get(e, f"$.{field}", "variant")
-            unread = unread | F.coalesce(given.isNotNull() & ~F.is_variant_null(given) & F.try_variant_get(
-                e, f"$.{field}", kind).isNull(), F.lit(False))
-    reason = (F.when(F.col("_broken"), F.lit("page is not valid JSON"))
-              .when(no_id, F.lit("element with a null id"))
-              .when(unread, F.lit("element with an unreadable number")))
-    tagged = rows.withColumn("reason", reason)
-    good = F.when(F.col("reason").isNull(), e)
-    columns = _projection(good, fields, date_column, year_column)
-    names = [f.name for f in RAW_FILMS] if fields is C.PAGE_FIELDS else None
-    out = tagged.select(*columns, "reason", F.when(F.col("reason").isNotNull(), F.col("body")).alias("body"))
-    raw = names or [c for c in out.columns if c not in ("reason", "body")]
+    report = F.struct("reason", "body", "faults")
+    found = _marked(pages, body, fields, results_field, id_column).select(
+        "reason", "body", "marked", _faults().alias("faults"))
+    none = F.lit(None).cast(f"struct<reason:string,body:string,faults:{FAULTS}>")
+    no_entry = F.array().cast(f"array<{_ENTRY}>")
+    good = F.coalesce(F.transform(F.filter("marked", lambda m: m["fault"].isNull()), lambda m: F.struct(
+        m["e"].alias("e"), none.alias("report"))), no_entry)
+    bad = F.when(F.col("reason").isNotNull() | (F.size("faults") > 0), F.array(F.struct(
+        F.lit(None).cast("variant").alias("e"), report.alias("report")))).otherwise(no_entry)
+    entry = found.select(F.explode(F.concat(good, bad)).alias("entry")).select("entry.e", "entry.report")
+    is_bad = F.col("report").isNotNull()
     # defaults of missing fields belong to good elements only
-    return out.select(*[F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in raw],
-                      "reason", "body")
+    columns = [F.when(~is_bad, c).alias(name) for name, c in zip(
+        _names(fields, date_column, year_column), _projection(F.col("e"), fields, date_column, year_column))]
+    return entry.select(*columns, "report.reason", "report.body", "report.faults", is_bad.alias("bad"))
 
 
 def ingest_dictionary(
@@ -167,11 +202,13 @@ def ingest_dictionary(
     """Dictionary pages -> (code as text, name). Both are mandatory: an entry
     that lacks either, or has a null in either, fails the job."""
     e = F.col("_e")
-    code = F.variant_get(e, f"$.{id_field}", "string")
-    name = F.variant_get(e, f"$.{name_field}", "string")
-    out = _elements(pages, body, list_field_name).select(
-        required(code, f"dictionary entry without {id_field}").alias(id_column),
-        required(name, f"dictionary entry without {name_field}").alias(name_column),
-    )
-    return conforming(out, RAW_CODES) if (id_column, name_column) == (C.CODE_ID, C.CODE_NAME) else out
+    items = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason"))).otherwise(
+        F.try_variant_get("doc", f"$.{list_field_name}", "array<variant>"))
 
+    def mandatory(field: str) -> Column:
+        value, fault = read_text(e, field, None)
+        return required(F.when(fault.isNull(), value), f"dictionary entry without {field}")
+
+    out = _parsed(pages, body, list_field_name).select(F.explode(items).alias("_e")).select(
+        mandatory(id_field).alias(id_column), mandatory(name_field).alias(name_column))
+    return conforming(out, RAW_CODES) if (id_column, name_column) == (C.CODE_ID, C.CODE_NAME) else out

@@ -1,18 +1,18 @@
 """Catalogue tables: read, create the database, overwrite a table.
 
-An overwrite writes a new version folder first and then points the table at
-it, so a write that fails leaves the old table as it was. Row counts are
-observed inside the writing job (``DataFrame.observe``), so a write costs one
-Spark job and no extra counting pass.
+An overwrite writes a new version folder and publishes it as the next release
+of the database (``sources.releases``), so a write that fails leaves the old
+table as it was. Row counts are observed inside the writing job
+(``DataFrame.observe``), so a write costs one Spark job and no extra counting
+pass.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+
+from strata.sources.releases import Draft
 
 
 def qualified(database: str | None, table: str) -> str:
@@ -33,41 +33,6 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def new_version(spark: SparkSession, name: str) -> str:
-    """A new folder for the next version of table ``name``, below its database."""
-    database, _, table = name.rpartition(".")
-    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    return f"{base.rstrip('/')}/{table}.versions/{uuid.uuid4().hex}"
-
-
-def point_table(spark: SparkSession, name: str, location: str, schema: StructType, fmt: str,
-                partition_by: list[str] | None = None) -> None:
-    """Let table ``name`` read the finished files at ``location``.
-
-    Catalogue operations only. With an unchanged schema it is one
-    ``SET LOCATION``; with a new schema the table's entry is replaced. The
-    files of earlier versions stay where they are, for readers that still use
-    them and for a step back; delete old ``<table>.versions`` folders as
-    storage policy wants.
-    """
-    known = spark.catalog.tableExists(name)
-    managed = known and spark.catalog.getTable(name).tableType == "MANAGED"
-    same = known and not managed and not partition_by and [
-        (f.name, f.dataType) for f in spark.table(name).schema] == [
-        (f.name, f.dataType) for f in schema]
-    if same:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-    else:
-        if known:
-            spark.sql(f"DROP TABLE {name}")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        parts = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}{parts} LOCATION '{location}'")
-        if partition_by:
-            spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
-
-
 def write_table(
     df: DataFrame,
     name: str,
@@ -78,20 +43,20 @@ def write_table(
     return the number of rows written, observed in the same job.
 
     The files go to a new version folder through Spark's file commit protocol
-    (a lost executor only re-runs its tasks); the table points at them only
-    once they are complete, so ``df`` may even read the table itself.
-    ``fmt="delta"`` needs the Delta package on the classpath; it keeps versions
-    of its own, so the table is overwritten in place with ``overwriteSchema``.
+    (a lost executor only re-runs its tasks); readers see them only once they
+    are complete, so ``df`` may even read the table itself. ``fmt="delta"``
+    needs the Delta package on the classpath; it keeps versions of its own, so
+    the table is overwritten in place with ``overwriteSchema``.
     """
-    observation = Observation()
-    observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if fmt == "delta":
+        observation = Observation()
+        writer = df.observe(observation, F.count(F.lit(1)).alias("rows")).write.format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
-    else:
-        location = new_version(df.sparkSession, name)
-        writer.save(location)
-        point_table(df.sparkSession, name, location, df.schema, fmt, partition_by)
-    return int(observation.get["rows"])
+        return int(observation.get["rows"])
+    database, _, table = name.rpartition(".")
+    with Draft(df.sparkSession, database or None) as draft:
+        rows = draft.write(df, table, fmt, partition_by)
+        draft.publish()
+    return rows

@@ -3,10 +3,10 @@
 The same ``ingest_films`` projection as the batch ingest, applied to page
 files as they land. The file sink with a checkpoint gives exactly-once
 output: a restarted query (or a lost executor) neither drops nor repeats
-pages. A malformed page fails the query, as in the batch ingest, unless the
-ingest is lenient; then :func:`start_bad_page_capture`, a second query over
-the same files with its own checkpoint, keeps those pages in a quarantine
-table (each query exactly-once on its own).
+pages. A page or element that cannot be read fails the query, as in the batch
+ingest, unless the ingest is lenient; then :func:`start_bad_page_capture`, a
+second query over the same files with its own checkpoint, keeps the pages that
+hold such in a quarantine table (each query exactly-once on its own).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.sources.pages import ingest_films, split_bad_pages
+from strata.sources.pages import faulty_pages, ingest_films
 
 
 def _landed(spark: SparkSession, landing_path: str, max_files_per_trigger: int | None):
@@ -47,8 +47,8 @@ def start_page_ingest(
 
     ``available_now=True`` processes every file present at start and stops
     (a scheduled incremental run); ``False`` keeps the query running.
-    ``lenient=True``: a page that is not valid JSON gives no rows instead of
-    failing the query (pair it with :func:`start_bad_page_capture`).
+    ``lenient=True``: a page or element that cannot be read gives no row instead
+    of failing the query (pair it with :func:`start_bad_page_capture`).
     """
     pages = _landed(spark, landing_path, max_files_per_trigger)
     return _start(ingest_films(pages, lenient=lenient), table, checkpoint_location, fmt,
@@ -64,7 +64,8 @@ def start_bad_page_capture(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start a stream that appends the landed pages that are not valid JSON
-    to ``table`` (the quarantine of a lenient :func:`start_page_ingest`)."""
+    """Start a stream that appends the landed pages with anything that cannot
+    be read to ``table``, each once, with the place and reason of each fault (the
+    quarantine of a lenient :func:`start_page_ingest`)."""
     pages = _landed(spark, landing_path, max_files_per_trigger)
-    return _start(split_bad_pages(pages).bad, table, checkpoint_location, fmt, available_now)
+    return _start(faulty_pages(pages), table, checkpoint_location, fmt, available_now)

@@ -69,12 +69,15 @@ def test_shuffle_join_path_equals_broadcast_path(spark):
 
 
 def test_rows_are_not_multiplied_by_their_codes(spark):
+    from strata.operators.codes import resolved_texts
     films = raw_rows(spark, [{"pelicula_id": "a"}])
-    plan = resolve_codes(films, dictionary(spark))._jdf.queryExecution().optimizedPlan().toString()
+    plan = resolved_texts(films, dictionary(spark))._jdf.queryExecution().optimizedPlan().toString()
     # only the distinct code texts are exploded
     exploded = plan[plan.index("Generate"):].splitlines()
     assert plan.count("Generate") == 1 and "Aggregate [genero_ids" in exploded[1]
     text = resolve_codes(films, dictionary(spark))._jdf.queryExecution().executedPlan().toString()
+    # the resolved texts are stored: the rows' plan only joins them
+    assert "Generate" not in text
     assert "BroadcastHashJoin" in text and "partial_count" in text and "partial_collect_list" in text
 
 

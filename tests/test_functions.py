@@ -2,10 +2,10 @@ from pyspark.sql import functions as F
 
 from strata.functions import (
     lenient_date,
-    list_field,
     list_to_text,
-    number_field,
-    text_field,
+    read_list,
+    read_number,
+    read_text,
     year_prefix,
 )
 
@@ -32,7 +32,7 @@ def test_variant_fields_missing_versus_null(spark):
         [('{"id":8}',), ('{"id":7,"title":null,"popularity":null,"genre_ids":null}',),
          ('{"id":6,"title":"x","popularity":1.5,"genre_ids":[3,4]}',)], "b string")
     v = F.parse_json("b")
-    rows = df.select(text_field(v, "title").alias("t"),
-                     number_field(v, "popularity", "double", 0.0).alias("p"),
-                     list_field(v, "genre_ids").alias("g")).collect()
+    rows = df.select(read_text(v, "title", "").value.alias("t"),
+                     read_number(v, "popularity", "double", 0.0).value.alias("p"),
+                     read_list(v, "genre_ids", ",").value.alias("g")).collect()
     assert [tuple(r) for r in rows] == [("", 0.0, ""), (None, 0.0, ""), ("x", 1.5, "3,4")]

@@ -146,9 +146,11 @@ def test_quarantine_takes_single_elements(spark, tmp_path):
     films = {r[C.FILM_ID]: r for r in spark.table(report.table(C.RAW_FILMS_TABLE)).collect()}
     assert set(films) == {"1", "4", "", "5"} and films["4"][C.POPULARITY] == 0.0
     assert films["5"][C.RATING] == 7.5 and films["1"][C.CODES] == ""
-    left = sorted(tuple(r) for r in spark.table(report.table(C.RAW_FILMS_TABLE) + "_quarantine").collect())
-    assert left == [("element with a null id", pages[0]), ("element with an unreadable number", pages[0]),
-                    ("page is not valid JSON", "{bad")]
+    left = sorted(((r.reason, r.body, [tuple(f) for f in r.faults]) for r in spark.table(
+        report.table(C.RAW_FILMS_TABLE) + "_quarantine").collect()), key=str, reverse=True)
+    assert left == [(None, pages[0], [(1, "id", "element with a null id"),
+                                      (2, "vote_count", "element with an unreadable number")]),
+                    ("page is not valid JSON", "{bad", [])]
     assert (report.rows[C.RAW_FILMS_TABLE], report.quarantined) == (4, 3)
     again = films_job(spark, df.where("body like '%status%'"), "quartest", bad_pages="quarantine")
     assert (again.rows[C.RAW_FILMS_TABLE], again.quarantined) == (0, 0)
