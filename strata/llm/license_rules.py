@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
+from strata.llm.license_texts import SENTENCES
+
 
 class Rule(NamedTuple):
     order: int
@@ -124,6 +126,7 @@ def literal(pattern: str) -> str:
     gap = "\0"
     while (shorter := re.sub(r"\(\?:[^()]*\)\??", gap, pattern)) != pattern:
         pattern = shorter
+    pattern = re.sub(r"\.\{\d+,\d+\}\??", gap, pattern)
     return max(re.sub(r"\[[^\]]*\]\??|.\?|\\.", gap, pattern).split(gap), key=len).strip()
 
 
@@ -139,6 +142,8 @@ def rules() -> tuple[Rule, ...]:
         add(label, phrase, phrase, 1.0, True)
     for label, pattern, keyword, weight in TEXTS:
         add(label, pattern, keyword, weight)
+    for label, weight, sentence in SENTENCES:
+        add(label, sentence, literal(sentence), weight)
     for label, _, spdx in sorted(NAMED, key=lambda x: -len(x[2])):
         add(label, SPDX_FRAME[0].format(name=re.escape(spdx).replace(r"\ ", " ")), "spdx",
             SPDX_FRAME[1])
