@@ -24,6 +24,7 @@ from strata.operators import (
     discover,
     global_rank,
     observed_counts,
+    profile_files,
     profile_range,
     profile_table,
     resolve_codes,
@@ -245,6 +246,13 @@ def q_profile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_profile_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of stored files from the statistics in their footers."""
+    path = scratch_path(spark, "profiled")
+    _tables(spark, sf_dir).raw_catalog().write.parquet(path)
+    return profile_files(spark, path, C.RELEASE_YEAR)
+
+
 def _damaged_pages(t: DriverTables) -> DataFrame:
     """The film pages, some cut off, without a list of results or no object,
     and some with elements of null id, without a readable number, text or list,
@@ -296,6 +304,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trend_preview": q_trend_preview,
     "profile_range": q_profile_range,
     "profile_stored": q_profile_stored,
+    "profile_footers": q_profile_footers,
     "quarantine_films": q_quarantine_films,
     "tenure_columns": q_tenure_columns,
     "top_ranked": q_top_ranked,
@@ -516,6 +525,7 @@ FROM sorted WHERE padded HAVING count(*) > 0""",
 _ORACLE["sorted_ranking"] = _ORACLE["gold_ranking"]
 _ORACLE["sorted_trend"] = _ORACLE["gold_trend_by_year"]
 _ORACLE["profile_stored"] = _ORACLE["profile_range"]
+_ORACLE["profile_footers"] = _ORACLE["profile_range"]
 
 
 # ---------------------------------------------------------------------------

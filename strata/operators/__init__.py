@@ -1,7 +1,9 @@
 """DataFrame -> DataFrame operators of the catalogue layers."""
 
 from strata.operators.audit import (
+    footer_plan,
     observed_counts,
+    profile_files,
     profile_range,
     profile_table,
     stage_counts,
@@ -18,8 +20,10 @@ __all__ = [
     "clean",
     "discover",
     "fits",
+    "footer_plan",
     "global_rank",
     "observed_counts",
+    "profile_files",
     "profile_range",
     "profile_table",
     "rank_window",
