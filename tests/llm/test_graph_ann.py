@@ -84,3 +84,42 @@ def test_fewer_candidates_than_k(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])],
                                "vec_id long, embedding array<float>")
     assert {q: [i for i, _ in near] for q, near in result(G.nearest(spark, df)).items()} == {0: [2, 1]}
+
+
+def test_recall_on_parallel_vectors_of_different_lengths(spark):
+    """3,000 vectors on 40 directions, and 1,000 parallel ones among others:
+    what comes back is as near as what brute force finds."""
+    rng = np.random.default_rng(8)
+    few = rng.normal(size=(40, 16))
+    rows = [(i, (few[i % 40] * float(rng.uniform(0.01, 50))).tolist()) for i in range(3000)]
+    rows += [(3000 + i, (few[0] * float(rng.uniform(0.1, 9)) if i < 1000 else rng.normal(size=16)).tolist())
+             for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = result(G.nearest(spark, df, stride=100))
+    x = np.array([v for _, v in rows])
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    hits = total = 0
+    for q in range(0, 4500, 100):
+        best = np.sort(np.delete(unit @ unit[q], q))[::-1][:5]
+        scores = [s for _, s in got[q]]
+        assert len(scores) == 5 and len({i for i, _ in got[q]}) == 5 and q not in {i for i, _ in got[q]}
+        hits += sum(s >= b - 1e-9 for s, b in zip(scores, best))
+        total += 5
+    assert hits / total >= 0.95
+
+
+def test_extreme_components(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(60, 8))
+    sizes = [1e200, 1e-200, 1.0, 1e300, 1e-300]
+    rows = [(i, (v * sizes[i % 5]).tolist()) for i, v in enumerate(base)] + [(60, [5e-324] + [0.0] * 7)]
+    got = result(G.nearest(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), stride=10))
+    plain = brute([(i, base[i].tolist() if i < 60 else [1.0] + [0.0] * 7) for i in range(61)], 10)
+    for q, near in plain.items():
+        assert [i for i, _ in got[q]] == [i for i, _ in near]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in near], atol=1e-12)
+
+
+def test_shards_grow_in_number_first_and_then_in_size():
+    assert [G.shard_count(n) for n in (0, 1, 4096, 4097, 64 * 4096, 64 << 17, 1 + (64 << 17), 10**9)] == \
+        [1, 1, 1, 2, 64, 64, 65, 7630]
