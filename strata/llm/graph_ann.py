@@ -40,9 +40,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stage, table
@@ -189,6 +188,7 @@ def unit(vectors) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------------------
 
 MEMBER = "struct<vec_id:long, vector:array<double>>"
+ARROW_MEMBERS = pa.list_(pa.struct([("vec_id", pa.int64()), ("vector", pa.list_(pa.float64()))]))
 INDEX = f"dim int, shard int, point int, members array<{MEMBER}>, neighbours array<int>, entry boolean"
 FOUND = "query_id long, vec_id long, score double"
 
@@ -203,12 +203,23 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
             .select("vec_id", F.size("vector").alias("dim"), "vector"))
 
 
-def _direction() -> Column:
-    """The unit vector to ``DIGITS`` decimals, as whole numbers."""
-    top = F.array_max(F.transform("vector", F.abs))
-    scaled = F.transform("vector", lambda v: v / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, v: total + v * v))
-    return F.transform(scaled, lambda v: F.round(v / norm * 10.0**DIGITS).cast("long"))
+def with_direction(vectors: DataFrame) -> DataFrame:
+    """``usable`` vectors with ``direction``: the unit vector to ``DIGITS``
+    decimals, as the bytes of whole numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for vector in batch.column(2):
+                raw = np.array(vector.as_py())
+                raw = raw / np.abs(raw).max()
+                keys.append((np.round(raw / np.sqrt((raw * raw).sum()) * 10.0**DIGITS) + 0.0)
+                            .astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())],
+                                             ["vec_id", "dim", "vector", "direction"])
+
+    return vectors.select("vec_id", "dim", "vector").mapInArrow(
+        run, "vec_id long, dim int, vector array<double>, direction binary")
 
 
 def shard_count(points: int, shard_rows: int = SHARD_ROWS, shards: int = SHARDS,
@@ -219,7 +230,7 @@ def shard_count(points: int, shard_rows: int = SHARD_ROWS, shards: int = SHARDS,
 def build_index(vectors: DataFrame, k: int = NEAREST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The graph of every shard, a row per point. ``vectors`` is ``usable``.
     Runs a job (the number of directions)."""
-    rows = (vectors.withColumn("direction", _direction()).groupBy("dim", "direction", "vec_id")
+    rows = (with_direction(vectors).groupBy("dim", "direction", "vec_id")
             .agg(F.min("vector").alias("vector")))
     # the k + 1 smallest ids per direction, kept apart in two steps: a hot one is cut per task first
     place = Window.partitionBy("dim", "direction", "salt").orderBy("vec_id")
@@ -231,17 +242,16 @@ def build_index(vectors: DataFrame, k: int = NEAREST, shard_rows: int = SHARD_RO
     shards = shard_count(rows.select("dim", "direction").distinct().count(), shard_rows)
     points = points.select("dim", F.pmod("hash", F.lit(shards)).cast("int").alias("shard"), "members")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf["members"].map(lambda m: m[0]["vec_id"])
-        pdf = pdf.iloc[np.argsort(first.to_numpy(), kind="stable")].reset_index(drop=True)
-        graph = build(unit([m[0]["vector"] for m in pdf["members"]])[1])
-        return pd.DataFrame({
-            "dim": pdf["dim"], "shard": pdf["shard"], "point": np.arange(len(pdf)),
-            "members": [list(m) for m in pdf["members"]],
-            "neighbours": [row[row >= 0] for row in graph.to],
-            "entry": np.arange(len(pdf)) == graph.entry})
-
-    return points.groupBy("dim", "shard").applyInPandas(run, INDEX)
+    def run(rows: pa.Table) -> pa.Table:
+        members = sorted(rows.column("members").to_pylist(), key=lambda m: m[0]["vec_id"])
+        graph = build(unit([m[0]["vector"] for m in members])[1])
+        return pa.table({
+            "dim": rows.column("dim"), "shard": rows.column("shard"),
+            "point": pa.array(np.arange(len(rows)), pa.int32()), "members": pa.array(members, ARROW_MEMBERS),
+            "neighbours": pa.array([row[row >= 0] for row in graph.to], pa.list_(pa.int32())),
+            "entry": pa.array(np.arange(len(rows)) == graph.entry)})
+
+    return points.groupBy("dim", "shard").applyInArrow(run, INDEX)
 
 
 class _Shard:
