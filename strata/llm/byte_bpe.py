@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from strata.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Pieces remembered per Python worker; the memory is emptied when full.
+#: Pieces remembered per task; the memory is emptied when full.
 PIECE_MEMORY = 400_000
 
 
@@ -142,6 +142,12 @@ class BytePairCoder:
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def forget(self) -> None:
+        """Empties the memories: a worker that waits for its next task, perhaps of
+        another operator, holds the ranks only."""
+        for held in (self._memory, self._fits, self._halves, self._shorter):
+            held.clear()
+
 
 class _PieceMemory(dict):
     def __init__(self, coder: BytePairCoder):
@@ -175,18 +181,22 @@ def _with_binary(df: DataFrame, name: str) -> T.StructType:
 
 def _mapped(df: DataFrame, source: str, name: str, make) -> DataFrame:
     """``df`` with binary column ``name`` made from column ``source`` by
-    ``make()`` (called once per task) a value at a time, in Arrow batches."""
+    ``make()`` (called once per task: the function and one to call at the task's
+    end) a value at a time, in Arrow batches."""
     schema = _with_binary(df, name)
     rest = [f.name for f in schema.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = make()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                made = [one(v) for v in part.column(source).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in rest] + [pa.array(made, pa.binary())], [*rest, name])
+        one, end = make()
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    made = [one(v) for v in part.column(source).to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(c) for c in rest] + [pa.array(made, pa.binary())], [*rest, name])
+        finally:
+            end()
 
     return df.mapInArrow(run, schema)
 
@@ -199,7 +209,7 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "token_ids",
 
     def make():
         encoder = coder(path, pattern)
-        return lambda text: encoder.encode(text or "")
+        return lambda text: encoder.encode(text or ""), encoder.forget
 
     return _mapped(df, text_col, ids_col, make)
 
@@ -211,7 +221,7 @@ def decode(df: DataFrame, ids_col: str = "token_ids", bytes_col: str = "decoded"
 
     def make():
         decoder = coder(path, pattern)
-        return lambda ids: decoder.decode(ids or b"")
+        return lambda ids: decoder.decode(ids or b""), decoder.forget
 
     return _mapped(df, ids_col, bytes_col, make)
 
