@@ -49,7 +49,7 @@ MIN_DOCS = 3                  # documents of the sample a feature must occur in
 CALIBRATION = 4               # every 4th document of the sample is not trained on
 BINS, MOST = 64, 40           # calibration bins per unit of logit; logits beyond +-MOST share a bin
 #: Words remembered per Python worker; the memory is emptied when full.
-WORD_MEMORY = 500_000
+WORD_MEMORY = 120_000
 SEED = 9
 MARKS = "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)))) + "«»“”„’…"
 #: Function words by language.
@@ -61,17 +61,30 @@ LANGUAGES = (
 )
 
 
+_WHOLE, _BEGINNING = zlib.crc32(b"="), zlib.crc32(b"^")
+
+
 def features(word: str) -> list[int]:
     """Hashed features of a normalised word: whole form, beginnings of 3 to 8
     characters and endings of 3 and 4, where the word is longer."""
-    size, crc = len(word), zlib.crc32
-    found = [crc(f"={word}".encode()) % BUCKETS]
-    running = crc(b"^")
-    for k, char in enumerate(word[:min(8, size - 1)], 1):
-        running = crc(char.encode(), running)
-        if k > 2:
-            found.append(running % BUCKETS)
-    found += [crc(f"{word[-k:]}$".encode()) % BUCKETS for k in (3, 4) if size > k]
+    size, crc, raw = len(word), zlib.crc32, word.encode()
+    found = [crc(raw, _WHOLE) % BUCKETS]
+    if size < 4:
+        return found
+    if len(raw) == size:                        # a byte per character
+        chars = [raw[k:k + 1] for k in range(3, min(8, size - 1))]
+        first, ends = raw[:3], (raw[-3:], raw[-4:])
+    else:
+        chars = [char.encode() for char in word[3:min(8, size - 1)]]
+        first, ends = word[:3].encode(), (word[-3:].encode(), word[-4:].encode())
+    running = crc(first, _BEGINNING)
+    found.append(running % BUCKETS)
+    for char in chars:
+        running = crc(char, running)
+        found.append(running % BUCKETS)
+    found.append(crc(ends[0] + b"$") % BUCKETS)
+    if size > 4:
+        found.append(crc(ends[1] + b"$") % BUCKETS)
     return found
 
 
