@@ -35,7 +35,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, fresh, stage, table, text_or_empty
+from strata.llm.common import WORD, fresh, let, stage, table, text_or_empty
 from strata.operators.joins import sized_broadcast
 
 BLOCK_WORDS = 64
@@ -228,8 +228,8 @@ class Mix:
             F.sum("words").alias("kept")))
         spans = spans.select(F.col("row").alias("__row"), "spans", "kept")
         parts = F.regexp_extract_all("text", F.lit(_WORD_AND_SPACE), 0)
-        cut = F.array_join(F.transform("__spans", lambda s: F.array_join(F.slice(
-            parts, (s["at"] + 1).cast("int"), s["words"].cast("int")), "")), "")
+        cut = let(parts, lambda own: F.array_join(F.transform("__spans", lambda s: F.array_join(F.slice(
+            own, (s["at"] + 1).cast("int"), s["words"].cast("int")), "")), ""))
         joined = self.stored.join(
             spans.withColumnsRenamed({"spans": "__spans", "kept": "__kept"}),
             F.col(self.row) == F.col("__row"))

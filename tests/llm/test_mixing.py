@@ -102,3 +102,17 @@ def test_edge_rows(spark):
     assert mix.documents().columns == df.columns and mix.documents().count() > 0
     none = M.Mix(spark, df.limit(0))
     assert none.taken().count() == 0 and none.documents().count() == 0
+
+
+def test_words_of_a_text_are_listed_once(spark):
+    """Not anew for each of its blocks; a text that is taken in parts keeps its words in order."""
+    rows = [(d, " ".join(f"w{d}x{k}" for k in range(700)) + " ", "en", s) for d, s in enumerate("abbb")]
+    out = M.Mix(spark, docs(spark, rows)).documents()
+    assert "slice(regexp_extract_all(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    parts = 0
+    for r in out.collect():
+        own, whole = words(r.text), words(rows[r.doc_id][1])
+        places = [whole.index(w) for w in own]
+        assert places == sorted(places) and len(set(places)) == len(places)
+        parts += len(own) < len(whole)
+    assert parts > 0
