@@ -28,6 +28,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,8 @@ CALIBRATION = 4               # every 4th document of the sample is not trained
 BINS, MOST = 64, 40           # calibration bins per unit of logit; logits beyond +-MOST share a bin
 #: Words remembered per Python worker; the memory is emptied when full.
 WORD_MEMORY = 120_000
+#: Rows that leave a Python worker at once: whole texts of a batch would stand in both processes again.
+PART_ROWS = 1_000
 SEED = 9
 MARKS = "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)))) + "«»“”„’…"
 #: Function words by language.
@@ -370,6 +373,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 _SCORERS: dict[bytes, Scorer] = {}
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, ``PART_ROWS`` at a time, not copied."""
+    for at in range(0, batch.num_rows, PART_ROWS):
+        yield batch.slice(at, PART_ROWS)
+
+
 def with_score(df: DataFrame, model: Model | None, name: str = "score",
                text_col: str = "text") -> DataFrame:
     """``df`` with the score of ``text_col`` as ``name``."""
@@ -384,7 +393,7 @@ def with_score(df: DataFrame, model: Model | None, name: str = "score",
             _SCORERS.clear()
             _SCORERS[key] = Scorer(model)
         scorer = _SCORERS[key]
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             scores = [scorer.score(v.as_py() or "") for v in batch.column(text_col)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in keep), pa.array(scores, pa.float64())],

@@ -3,6 +3,7 @@ import pyarrow as pa
 from frames import docs
 
 from strata.llm import byte_bpe as B
+from strata.llm import toxicity as X
 
 
 def held(spark, count):
@@ -24,3 +25,12 @@ def test_idle_workers_hold_no_pieces(spark):
     def count():
         return sum(len(c._memory) + len(c._fits) for key, c in B._CODERS.items() if key[0] == path)
     assert held(spark, count) == 0
+
+
+def test_scored_rows_leave_in_parts():
+    """A batch of whole texts is not held a second time, with its scores."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), pa.array(f"text {k}" for k in range(2500))], ["doc_id", "text"])
+    out = list(X.parts(batch))
+    assert [p.num_rows for p in out] == [1000, 1000, 500] and not list(X.parts(batch.slice(0, 0)))
+    assert [v for p in out for v in p.column(0).to_pylist()] == list(range(2500))
+    assert out[1].column(1).buffers()[2].address == batch.column(1).buffers()[2].address
